@@ -12,7 +12,7 @@ from cardrail.functions.payload import Payload
 from cardrail.functions.records import KEEP_NULLS, fenced, splice
 from cardrail.functions.text import empty_to_null, strip
 from cardrail.operators.stamps import now_millis, stamped
-from cardrail.operators.validation import open_payload
+from cardrail.operators.validation import PARSE_FAILED, open_payload
 from cardrail.schemas import CANONICAL_SCHEMA
 
 STAGE = "normalization"
@@ -202,6 +202,22 @@ def normalize(
     )
 
 
+def accepted(normalized: DataFrame) -> DataFrame:
+    """Canonical records of envelopes that could be read."""
+    return normalized.filter(F.col("fault").isNull()).select(*CANONICAL_MEMBERS)
+
+
+def rejected(normalized: DataFrame) -> DataFrame:
+    """Technical dead letters for envelopes that could not be read; the stage does not stop."""
+    return normalized.filter(F.col("fault").isNotNull()).select(
+        F.lit(STAGE).alias("stage"),
+        F.lit(PARSE_FAILED).alias("errorCode"),
+        F.col("fault").alias("errorMessage"),
+        F.col("value").alias("originalMessage"),
+        F.col("_processing.normalizedAt").alias("timestamp"),
+    )
+
+
 def flatten(canonical: DataFrame) -> DataFrame:
     """Canonical records as scalar columns."""
     return canonical.select(*(F.col(path).alias(name) for name, path in FLAT_COLUMNS.items()))

@@ -122,9 +122,7 @@ def payload_as_map(df: DataFrame) -> Column:
     )
 
 
-def rejected(
-    checked: DataFrame, now_ms: int | None = None, mask_card_numbers: bool = False
-) -> DataFrame:
+def rejected(checked: DataFrame, mask_card_numbers: bool = False) -> DataFrame:
     """Dead letters: whole envelopes with their error list, or technical ones for ``fault``.
 
     Card numbers stay readable unless ``mask_card_numbers`` is set; the original text of a record
@@ -151,5 +149,5 @@ def rejected(
         F.when(~parsed, PARSE_FAILED).alias("errorCode"),
         F.col("fault").alias("errorMessage"),
         F.when(~parsed, original).alias("originalMessage"),
-        F.when(~parsed, now_millis(now_ms)).alias("timestamp"),
+        F.when(~parsed, F.col("_processing.validatedAt")).alias("timestamp"),
     )

@@ -76,3 +76,19 @@ ENVELOPE_HEAD_TYPES = {
     "producedAt": "bigint",
     "eventTime": "string",
 }
+
+_AMOUNT = "struct<value:double,currencyCode:string,currencyAlpha:string,minorUnits:int>"
+
+# The canonical record.
+CANONICAL_DDL = f"""struct<
+msgId:string, schema:string, creDtTm:string, businessDate:string,
+iso8583:struct<mti:string,mtiName:string,processingCode:string,actionCode:string,responseCode:string>,
+transaction:struct<amount:{_AMOUNT},billingAmount:{_AMOUNT},settlementAmount:{_AMOUNT},
+cashBackAmount:{_AMOUNT},transactionLocalDate:string,captureDate:string>,
+card:struct<panMasked:string,panBin:string,scheme:string,expiryDate:string,sequenceNumber:string>,
+merchant:struct<id:string,name:string,mcc:string,mccDescription:string,terminalId:string>,
+acquirer:struct<institutionCode:string,bank:string,countryCode:string>,
+issuer:struct<bank:string,networkCode:string>,
+audit:struct<stan:string,rrn:string,authCode:string,authSource:string,originalAuthCode:string>,
+_processing:{PROCESSING_DDL}
+>""".replace("\n", "")
