@@ -24,8 +24,9 @@ from cardrail.operators import (
 )
 from cardrail.operators.stamps import latency
 from cardrail.plans import pipelines
-from cardrail.plans.payments import INDEX, operations
+from cardrail.plans.payments import INDEX, ONE_MONTH, operations
 from cardrail.schemas import (
+    CANONICAL_DDL,
     OPERATION_COLUMNS,
     PAYLOAD_COLUMNS,
     STATUS_TOPICS,
@@ -65,12 +66,13 @@ def repeatable_iv() -> Column:
     return F.substring(F.unhex(F.sha2(F.col("eventId"), 256)), 1, IV_BYTES)
 
 
-def envelopes(spark, sf_dir, columns=PAYLOAD_COLUMNS) -> DataFrame:
-    return envelope.as_envelopes(operations(spark, sf_dir, columns), INDEX, columns, PRODUCED_MS)
+def envelopes(spark, sf_dir, columns=PAYLOAD_COLUMNS, replaced=None) -> DataFrame:
+    rows = operations(spark, sf_dir, columns, replaced)
+    return envelope.as_envelopes(rows, INDEX, columns, PRODUCED_MS)
 
 
-def sealed(spark, sf_dir, columns=PAYLOAD_COLUMNS) -> DataFrame:
-    opened = envelopes(spark, sf_dir, columns)
+def sealed(spark, sf_dir, columns=PAYLOAD_COLUMNS, replaced=None) -> DataFrame:
+    opened = envelopes(spark, sf_dir, columns, replaced)
     return envelope.seal(opened, sample_key(spark), repeatable_iv(), PRODUCED_MS)
 
 
@@ -78,8 +80,10 @@ def checked(spark, sf_dir) -> DataFrame:
     return validation.validate(envelopes(spark, sf_dir, validation.MANDATORY_FIELDS), VALIDATED_MS)
 
 
-def canonical(spark, sf_dir) -> DataFrame:
-    return pipelines.canonical_from_open(envelopes(spark, sf_dir), NORMALIZED_MS)
+def canonical(spark, sf_dir, replaced=None) -> DataFrame:
+    return pipelines.canonical_from_open(
+        envelopes(spark, sf_dir, replaced=replaced), NORMALIZED_MS
+    )
 
 
 def row_index(event_id: str = "eventId") -> Column:
@@ -94,12 +98,6 @@ def payload_members(df: DataFrame, *names: str) -> list[Column]:
 # --- sources ---------------------------------------------------------------------------------
 
 
-def publish(spark, sf_dir, columns=PAYLOAD_COLUMNS) -> FolderTopic:
-    topic = FolderTopic(scratch_path(spark, "topics"), TOPIC_SEALED)
-    topic.append(envelope.sealed_messages(sealed(spark, sf_dir, columns)), "publisher")
-    return topic
-
-
 def topic_scan(spark, sf_dir):
     """Messages written to a topic and read back from its start."""
     opened = envelopes(spark, sf_dir, ("CARD_NUMBER", "TRANSACTION_AMOUNT"))
@@ -571,13 +569,16 @@ def canonical_flat(spark, sf_dir):
     return normalization.flatten(canonical(spark, sf_dir))
 
 
+def _flat_from_text(texts: DataFrame) -> DataFrame:
+    """Canonical texts, taken apart again member by member."""
+    return normalization.flatten(
+        texts.select(F.from_json(texts.columns[0], CANONICAL_DDL).alias("r")).select("r.*")
+    )
+
+
 def canonical_json(spark, sf_dir):
-    """Canonical wire texts, taken apart again member by member."""
     records = canonical(spark, sf_dir)
-    texts = records.select(normalization.canonical_text(records).alias("value"))
-    schema = records.drop("_processing").schema
-    parsed = texts.select(F.from_json("value", schema).alias("r")).select("r.*")
-    return normalization.flatten(parsed)
+    return _flat_from_text(records.select(normalization.canonical_text(records)))
 
 
 # --- joins and unions ------------------------------------------------------------------------
@@ -661,31 +662,24 @@ def storage_usage(spark, sf_dir):
 # --- sinks -----------------------------------------------------------------------------------
 
 
-def _flat_from_text(texts: DataFrame, like: DataFrame) -> DataFrame:
-    schema = like.drop("_processing").schema
-    return normalization.flatten(
-        texts.select(F.from_json(texts.columns[0], schema).alias("r")).select("r.*")
-    )
-
-
 def jsonl_roundtrip(spark, sf_dir):
     records = canonical(spark, sf_dir)
     path = f"{scratch_path(spark, 'jsonl')}/normalized"
     files.write_json_lines(records, normalization.canonical_text(records), path)
-    return _flat_from_text(read_text_messages(spark, path), records)
+    return _flat_from_text(read_text_messages(spark, path))
 
 
 def parquet_roundtrip(spark, sf_dir):
     records = canonical(spark, sf_dir)
     path = f"{scratch_path(spark, 'parquet')}/normalized-parquet"
     files.write_json_parquet(records, normalization.canonical_text(records), path)
-    return _flat_from_text(spark.read.parquet(path), records)
+    return _flat_from_text(spark.read.parquet(path))
 
 
 def canonical_partitioned(spark, sf_dir):
     """The store read back by its partition columns."""
     path = f"{scratch_path(spark, 'store')}/canonical"
-    files.write_canonical(canonical(spark, sf_dir), path)
+    files.write_canonical(canonical(spark, sf_dir, ONE_MONTH), path)
     store = spark.read.option("basePath", path).parquet(path)
     return store.groupBy(
         F.col("businessDate").cast("string").alias("business_date"), F.col("mti").cast("string").alias("mti")
@@ -697,9 +691,8 @@ def canonical_partitioned(spark, sf_dir):
 
 def _finished_jobs(spark, sf_dir) -> Jobs:
     jobs = Jobs.in_folder(spark, scratch_path(spark, "jobs"), sample_key(spark))
-    jobs.topic(TOPIC_SEALED).append(
-        envelope.sealed_messages(sealed(spark, sf_dir)), "publisher"
-    )
+    messages = envelope.sealed_messages(sealed(spark, sf_dir, replaced=ONE_MONTH))
+    jobs.topic(TOPIC_SEALED).append(messages, "publisher")
     for start in (jobs.decryption, jobs.validation, jobs.normalization, jobs.store):
         start().awaitTermination()
     return jobs
@@ -708,8 +701,7 @@ def _finished_jobs(spark, sf_dir) -> Jobs:
 def pipeline_stream(spark, sf_dir):
     """The four stages as streams over topics, run to the end of their input."""
     jobs = _finished_jobs(spark, sf_dir)
-    records = canonical(spark, sf_dir)
-    return _flat_from_text(jobs.topic(TOPIC_NORMALIZED).read(spark).select("value"), records)
+    return _flat_from_text(jobs.topic(TOPIC_NORMALIZED).read(spark).select("value"))
 
 
 def stream_fanout(spark, sf_dir):

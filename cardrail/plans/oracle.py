@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from cardrail.functions.codes import CURRENCIES, MERCHANT_CATEGORIES, MESSAGE_TYPES
 from cardrail.plans import catalog
-from cardrail.plans.payments import operations_sql
+from cardrail.plans.payments import ONE_MONTH, operations_sql
 from cardrail.schemas import (
     CANONICAL_SCHEMA,
     PAYLOAD_COLUMNS,
@@ -67,9 +67,10 @@ _CUR = _text("TRANSACTION_CURRENCY")
 _EVENT = "printf('evt-%08d', row_idx)"
 
 _F1 = f"f1 AS ({operations_sql()})"
+_F1_ONE_MONTH = f"f1 AS ({operations_sql(ONE_MONTH)})"
 
 # Each row with its stripped fields and its verdict on every rule.
-_CHECKED = f"""{_F1}, {_TABLES},
+_VERDICTS = f"""{_TABLES},
 t AS (SELECT *, {_EVENT} AS event_id, {_MTI} AS mti, {_CUR} AS cur, {_PAN} AS pan FROM f1),
 v AS (SELECT *,
   coalesce(MESSAGE_TYPE, '') = '' AS no_mti, coalesce(CARD_NUMBER, '') = '' AS no_pan,
@@ -80,6 +81,7 @@ v AS (SELECT *,
   FROM t),
 w AS (SELECT *, (CAST(no_mti AS INT) + CAST(no_pan AS INT) + CAST(no_amount AS INT) + CAST(no_cur AS INT)
   + CAST(bad_mti AS INT) + CAST(bad_cur AS INT) + CAST(bad_pan AS INT)) AS errors FROM v)"""
+_CHECKED = f"{_F1}, {_VERDICTS}"
 
 _MASK = (
     "CASE WHEN length({p}) < 10 THEN repeat('*', length({p})) "
@@ -109,9 +111,9 @@ def _amount(prefix: str, field: str, code: str, alias: str) -> str:
     )
 
 
-def _canonical(event_id: str = "event_id", where: str = "") -> str:
+def _canonical(event_id: str = "event_id", where: str = "", rows: str = _F1) -> str:
     mcc = _text("CARD_ACCEPTOR_ACTIVITY")
-    return f"""WITH {_CHECKED}
+    return f"""WITH {rows}, {_VERDICTS}
 SELECT {event_id} AS msg_id, '{CANONICAL_SCHEMA}' AS schema,
   {_iso("TRANSMISSION_DATE_AND_TIME")} AS cre_dt_tm, substr({_BUSINESS}, 1, 10) AS business_date,
   w.mti AS mti, mti_t.name AS mti_name, PROCESSING_CODE AS processing_code, ACTION_CODE AS action_code,
@@ -206,6 +208,7 @@ def statements() -> dict[str, str]:
     cdc_id = "'chg-' || CAST(row_idx AS STRING)"
     odd = f"""'{{"eventId":"' || {_EVENT} || '","payload":' || """
     flat = _canonical()
+    flat_month = _canonical(rows=_F1_ONE_MONTH)
     missing = ", ".join(
         f"(coalesce({c}, '') = '') AS {c.lower()}_missing"
         for c in ("MESSAGE_TYPE", "CARD_NUMBER", "TRANSACTION_AMOUNT", "TRANSACTION_CURRENCY")
@@ -228,8 +231,8 @@ def statements() -> dict[str, str]:
         "canonical_json": flat,
         "canonical_flat": flat,
         "pipeline_canonical": flat,
-        "pipeline_stream": flat,
-        "canonical_partitioned": f"SELECT business_date, mti, count(*) AS records, count(amount_value) AS with_amount FROM ({flat}) GROUP BY business_date, mti",
+        "pipeline_stream": flat_month,
+        "canonical_partitioned": f"SELECT business_date, mti, count(*) AS records, count(amount_value) AS with_amount FROM ({flat_month}) GROUP BY business_date, mti",
         "stream_fanout": f"WITH {_CHECKED} {_counts(stream)}",
         "stage_counts": f"WITH {_CHECKED} {_counts(status)}",
         "envelope_build": _f1(f"{opened}, " + _lower("CARD_NUMBER", "MESSAGE_TYPE")),
