@@ -83,6 +83,29 @@ def unknown_members(text: Column, known: tuple[str, ...]) -> Column:
     return F.when(F.size(F.array_except(keys, known_keys)) > 0, extra)
 
 
+def last_wins(names: Column, values: Column) -> Column:
+    """A map from parallel arrays; of a repeated name the last value counts, as in JSON texts.
+
+    Parsed maps keep repeated names and give the first; only rows that have any are rebuilt.
+    """
+    distinct = F.array_distinct(names)
+    pairs = F.arrays_zip(names.alias("name"), values.alias("value"))
+    last = F.transform(
+        distinct,
+        lambda wanted: F.element_at(F.filter(pairs, lambda pair: pair["name"] == wanted), -1)["value"],
+    )
+    return F.when(F.size(distinct) < F.size(names), F.map_from_arrays(distinct, last)).otherwise(
+        F.map_from_arrays(names, values)
+    )
+
+
+def settled(parsed: Column) -> Column:
+    """A parsed map with repeated names settled."""
+    names = F.map_keys(parsed)
+    repeated = F.size(F.array_distinct(names)) < F.size(names)
+    return F.when(repeated, last_wins(names, F.map_values(parsed))).otherwise(parsed)
+
+
 def fenced(df: DataFrame, **columns: Column) -> DataFrame:
     """``withColumns`` whose results later filters test as stored values.
 

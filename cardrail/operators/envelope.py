@@ -12,11 +12,12 @@ from cardrail.functions.records import (
     is_object_text,
     is_one_json_value,
     member_json,
+    fenced,
     parse_object,
+    settled,
     splice,
     type_word,
     unknown_members,
-    fenced,
 )
 from cardrail.operators.stamps import now_millis
 from cardrail.schemas import (
@@ -186,7 +187,7 @@ def read_open(messages: DataFrame) -> DataFrame:
     return parsed.select(
         "value",
         *_head_columns(record),
-        F.coalesce(payload, F.create_map().cast(STRING_MAP)).alias("payload"),
+        F.coalesce(settled(payload), F.create_map().cast(STRING_MAP)).alias("payload"),
         record.getField("_processing").alias("_processing"),
         unknown_members(value, known).alias("extras"),
         fault.alias("fault"),

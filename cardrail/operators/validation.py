@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from cardrail.functions.cards import BIN_LENGTH, mask_pan, passes_luhn
 from cardrail.functions.codes import is_known_currency, is_known_mti
 from cardrail.functions.payload import Payload
-from cardrail.functions.records import JSON_OPTIONS, fenced, is_falsy
+from cardrail.functions.records import JSON_OPTIONS, fenced, is_falsy, settled
 from cardrail.functions.text import is_empty, strip
 from cardrail.operators.envelope import no_get, open_text
 from cardrail.operators.stamps import now_millis, stamped
@@ -75,8 +75,9 @@ def open_payload(envelopes: DataFrame) -> DataFrame:
         fault = F.coalesce(F.col("fault"), fault)
     if "value" not in envelopes.columns:
         envelopes = envelopes.withColumn("value", open_text(envelopes))
-    return fenced(
-        envelopes, payload=F.coalesce(members, F.create_map().cast(STRING_MAP)), fault=fault
+    parsed = fenced(envelopes, payload=members, fault=fault)
+    return parsed.withColumn(
+        "payload", F.coalesce(settled(F.col("payload")), F.create_map().cast(STRING_MAP))
     )
 
 
