@@ -184,13 +184,15 @@ def read_open(messages: DataFrame) -> DataFrame:
         payload_fault,
         _processing_fault(value, record.getField("_processing")),
     )
-    return parsed.select(
+    whole = F.coalesce(settled(payload), F.create_map().cast(STRING_MAP))
+    judged = fenced(parsed, payload=whole, fault=fault)
+    return judged.select(
         "value",
         *_head_columns(record),
-        F.coalesce(settled(payload), F.create_map().cast(STRING_MAP)).alias("payload"),
+        "payload",
         record.getField("_processing").alias("_processing"),
         unknown_members(value, known).alias("extras"),
-        fault.alias("fault"),
+        "fault",
     )
 
 

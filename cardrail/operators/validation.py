@@ -76,9 +76,8 @@ def open_payload(envelopes: DataFrame) -> DataFrame:
     if "value" not in envelopes.columns:
         envelopes = envelopes.withColumn("value", open_text(envelopes))
     parsed = fenced(envelopes, payload=members, fault=fault)
-    return parsed.withColumn(
-        "payload", F.coalesce(settled(F.col("payload")), F.create_map().cast(STRING_MAP))
-    )
+    whole = F.coalesce(settled(F.col("payload")), F.create_map().cast(STRING_MAP))
+    return fenced(parsed, payload=whole)
 
 
 def validate(
