@@ -128,26 +128,30 @@ def rejected(checked: DataFrame, mask_card_numbers: bool = False) -> DataFrame:
     Card numbers stay readable unless ``mask_card_numbers`` is set; the original text of a record
     that did not parse is then left out as well.
     """
-    bad = checked.filter(~F.col("valid"))
+    columns = reject_columns(checked, mask_card_numbers)
+    return checked.filter(~F.col("valid")).select(*(c.alias(n) for n, c in columns.items()))
+
+
+def reject_columns(checked: DataFrame, mask_card_numbers: bool = False) -> dict[str, Column]:
+    """Members of a dead letter."""
     parsed = F.col("fault").isNull()
-    payload = payload_as_map(bad)
-    original = F.col("value") if "value" in bad.columns else F.lit(None).cast("string")
+    payload = payload_as_map(checked)
+    original = F.col("value") if "value" in checked.columns else F.lit(None).cast("string")
     if mask_card_numbers:
         payload = F.transform_values(
             payload,
             lambda name, text: F.when(name == "CARD_NUMBER", mask_pan(strip(text))).otherwise(text),
         )
         original = F.lit(None).cast("string")
-    head = [c for c in (*ENVELOPE_HEAD, "_processing", "extras") if c in bad.columns]
-    return bad.select(
-        *(F.when(parsed, F.col(c)).alias(c) for c in head),
-        F.when(parsed, payload).alias("payload"),
-        F.when(
-            parsed, F.struct(F.lit(False).alias("valid"), F.col("errors").alias("errors"))
-        ).alias("validation"),
-        F.lit(STAGE).alias("stage"),
-        F.when(~parsed, PARSE_FAILED).alias("errorCode"),
-        F.col("fault").alias("errorMessage"),
-        F.when(~parsed, original).alias("originalMessage"),
-        F.when(~parsed, F.col("_processing.validatedAt")).alias("timestamp"),
-    )
+    head = [c for c in (*ENVELOPE_HEAD, "_processing", "extras") if c in checked.columns]
+    verdict = F.struct(F.lit(False).alias("valid"), F.col("errors").alias("errors"))
+    return {
+        **{c: F.when(parsed, F.col(c)) for c in head},
+        "payload": F.when(parsed, payload),
+        "validation": F.when(parsed, verdict),
+        "stage": F.lit(STAGE),
+        "errorCode": F.when(~parsed, PARSE_FAILED),
+        "errorMessage": F.col("fault"),
+        "originalMessage": F.when(~parsed, original),
+        "timestamp": F.when(~parsed, F.col("_processing.validatedAt")),
+    }
