@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Parse options under which only standard JSON objects pass; the text of a record that does not fit
 # its type lands in CORRUPT.
@@ -113,6 +113,12 @@ def fenced(df: DataFrame, **columns: Column) -> DataFrame:
     evaluated twice, once to test and once to keep. Generating the columns stops that, which pays
     off for decryption and JSON parsing.
     """
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
-    made = F.struct(*(col.alias(name) for name, col in columns.items()))
+    # Structs go through the generator as well: the optimizer would split those that pass beside it
+    # into their members, and loses some of these when a batch is cached.
+    beside = [c for c in df.columns if c not in columns]
+    structs = [c for c in beside if isinstance(df.schema[c].dataType, T.StructType)]
+    made = F.struct(
+        *(col.alias(name) for name, col in columns.items()), *(F.col(f"`{c}`") for c in structs)
+    )
+    kept = [F.col(f"`{c}`") for c in beside if c not in structs]
     return df.select(*kept, F.inline(F.array(made)))

@@ -72,9 +72,8 @@ def seal(
     seconds = (now_millis(now_ms) / 1000).cast("bigint")
     plain = payload_json(F.col("payload")).cast("binary")
     body = tokens.token_body(plain, seconds, tokens.random_iv() if iv is None else iv, key)
-    # the body is stored first: its MAC and its text must come from one encryption
-    stored = fenced(envelopes, _body=body)
-    return stored.select(
+    # the body gets a column first: its MAC and its text must come from one encryption
+    return envelopes.withColumn("_body", body).select(
         "eventId",
         "schemaVersion",
         "source",
@@ -169,7 +168,7 @@ def read_open(messages: DataFrame) -> DataFrame:
     """
     value = F.col("value")
     fields = f"{_head_fields()}, payload {STRING_MAP}, _processing {PROCESSING_DDL}"
-    parsed = fenced(messages, _record=parse_object(value, fields))
+    parsed = messages.withColumn("_record", parse_object(value, fields))
     record = F.col("_record")
     corrupt = record.getField(CORRUPT)
     payload = record.getField("payload")

@@ -9,7 +9,7 @@ from cardrail.functions.cards import card_scheme, mask_pan, pan_bin
 from cardrail.functions.codes import mcc_description, mti_name
 from cardrail.functions.dates import business_date, to_iso8601
 from cardrail.functions.payload import Payload
-from cardrail.functions.records import KEEP_NULLS, fenced, splice
+from cardrail.functions.records import KEEP_NULLS, splice
 from cardrail.functions.text import empty_to_null, strip
 from cardrail.operators.stamps import now_millis, stamped
 from cardrail.operators.validation import PARSE_FAILED, open_payload
@@ -128,26 +128,16 @@ def normalize(
     opened = open_payload(envelopes)
     p = Payload.of(opened, none_as_text=none_as_text)
     raw, text = p.raw, p.text
-    # Parsed fields get stored columns, a few per step: what is read twice is parsed once, and every
-    # step compiles to a method small enough for the JVM to optimize.
-    prepared = fenced(
-        opened,
-        _mti=text("MESSAGE_TYPE"),
-        _pan=text("CARD_NUMBER"),
-        _mcc=text("CARD_ACCEPTOR_ACTIVITY"),
-        **{f"_{field}_currency": code for field, code in currencies(p).items()},
-    )
-    prepared = fenced(
-        prepared, **{f"_{field}_number": parse_amount(raw(field)) for field in AMOUNT_FIELDS.values()}
-    )
-    prepared = fenced(
-        prepared,
-        _created=to_iso8601(raw("TRANSMISSION_DATE_AND_TIME")),
-        _business_date=payload_business_date(p),
-        _local=to_iso8601(raw("TRANSACTION_LOCAL_DATE")),
-        _captured=to_iso8601(raw("CAPTURE_DATE")),
-        _expiry=to_iso8601(raw("END_EXPIRY_DATE")),
-    )
+    # What is parsed and then read more than once gets a column of its own first; building the
+    # record in one step would repeat the parsing per use.
+    fields = {
+        "mti": text("MESSAGE_TYPE"),
+        "pan": text("CARD_NUMBER"),
+        "mcc": text("CARD_ACCEPTOR_ACTIVITY"),
+        **{f"{field}_currency": code for field, code in currencies(p).items()},
+        **{f"{field}_number": parse_amount(raw(field)) for field in AMOUNT_FIELDS.values()},
+    }
+    prepared = opened.withColumns({f"_{name}": column for name, column in fields.items()})
     mti, pan, mcc = F.col("_mti"), F.col("_pan"), F.col("_mcc")
     amounts = {
         member: amount(F.col(f"_{field}_number"), F.col(f"_{field}_currency"))
@@ -156,8 +146,8 @@ def normalize(
     return prepared.select(
         F.col("eventId").alias("msgId"),
         F.lit(CANONICAL_SCHEMA).alias("schema"),
-        F.col("_created").alias("creDtTm"),
-        F.col("_business_date").alias("businessDate"),
+        to_iso8601(raw("TRANSMISSION_DATE_AND_TIME")).alias("creDtTm"),
+        payload_business_date(p).alias("businessDate"),
         _struct(
             mti=mti,
             mtiName=mti_name(mti),
@@ -167,14 +157,14 @@ def normalize(
         ).alias("iso8583"),
         _struct(
             **amounts,
-            transactionLocalDate=F.col("_local"),
-            captureDate=F.col("_captured"),
+            transactionLocalDate=to_iso8601(raw("TRANSACTION_LOCAL_DATE")),
+            captureDate=to_iso8601(raw("CAPTURE_DATE")),
         ).alias("transaction"),
         _struct(
             panMasked=mask_pan(pan),
             panBin=pan_bin(pan),
             scheme=card_scheme(pan),
-            expiryDate=F.col("_expiry"),
+            expiryDate=to_iso8601(raw("END_EXPIRY_DATE")),
             sequenceNumber=raw("CARD_SEQUENCE_NUMBER"),
         ).alias("card"),
         _struct(

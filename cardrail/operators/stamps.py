@@ -26,11 +26,11 @@ def utc_text(millis: Column) -> Column:
 
 def stamped(df: DataFrame, **stamps: Column) -> Column:
     """The ``_processing`` struct of ``df`` with ``stamps`` set; other members keep their value."""
-    existing = F.col("_processing") if "_processing" in df.columns else F.lit(None).cast(PROCESSING_DDL)
-    merged = F.struct(
-        *((stamps[f] if f in stamps else existing.getField(f)).alias(f) for f in PROCESSING_FIELDS)
-    )
-    return merged.cast(PROCESSING_DDL)
+    blank = F.struct(*(F.lit(None).alias(f) for f in PROCESSING_FIELDS)).cast(PROCESSING_DDL)
+    merged = F.coalesce(F.col("_processing"), blank) if "_processing" in df.columns else blank
+    for name, value in stamps.items():
+        merged = merged.withField(name, value)
+    return merged
 
 
 def latency(df: DataFrame, first: str, last: str) -> Column:

@@ -67,17 +67,16 @@ def open_payload(envelopes: DataFrame) -> DataFrame:
     """
     if not isinstance(envelopes.schema["payload"].dataType, T.StringType):
         return envelopes
-    text = F.col("payload")
-    members = F.from_json(text, STRING_MAP, JSON_OPTIONS)
+    text, members = F.col("payload"), F.col("_members")
     blank = F.coalesce(is_falsy(text), F.lit(True))
     fault = F.when(members.isNull() & ~blank, no_get(text))
     if "fault" in envelopes.columns:
         fault = F.coalesce(F.col("fault"), fault)
     if "value" not in envelopes.columns:
         envelopes = envelopes.withColumn("value", open_text(envelopes))
-    parsed = fenced(envelopes, payload=members, fault=fault)
-    whole = F.coalesce(settled(F.col("payload")), F.create_map().cast(STRING_MAP))
-    return fenced(parsed, payload=whole)
+    parsed = envelopes.withColumn("_members", F.from_json(text, STRING_MAP, JSON_OPTIONS))
+    whole = F.coalesce(settled(members), F.create_map().cast(STRING_MAP))
+    return fenced(parsed, payload=whole, fault=fault).drop("_members")
 
 
 def validate(
