@@ -16,7 +16,6 @@ def build_session(app: str = "cardrail", master: str | None = None, **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         # HotSpot leaves methods above 8000 bytes uncompiled; past that, per-operator code is faster
         "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,

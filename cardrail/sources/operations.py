@@ -59,7 +59,8 @@ def with_row_index(scan: DataFrame, name: str = "row_idx") -> DataFrame:
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     within = F.col("_place").bitwiseAND(F.lit((1 << offset_bits) - 1))
-    joined = numbered.withColumn("_part", partition).join(starts, "_part")
+    # one row per input partition, whatever the size of the data
+    joined = numbered.withColumn("_part", partition).join(F.broadcast(starts), "_part")
     return joined.select((F.col("_start") + within).alias(name), *scan.columns)
 
 

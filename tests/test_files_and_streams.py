@@ -68,6 +68,49 @@ def test_row_index_is_dense_in_file_order(spark, tmp_path):
     assert all(r.row_idx == r.a for r in rows)
 
 
+def test_publish_csv(spark, key, tmp_path):
+    from cardrail.operators import decryption
+    from cardrail.plans import pipelines
+
+    path = write(tmp_path, "a.csv", "MESSAGE_TYPE,CARD_NUMBER\n1100,\nNA,4\n1200,5\n")
+    for limit, ids in ((0, ["evt-00000000", "evt-00000001", "evt-00000002"]), (1, ["evt-00000000"])):
+        topic = FolderTopic(scratch_path(spark, "t"), TOPIC_SEALED)
+        pipelines.publish_csv(spark, path, key, topic, limit)
+        messages = topic.read(spark)
+        assert sorted(r.key for r in messages.collect()) == ids
+        opened = decryption.accepted(decryption.decrypt(envelope.read_sealed(messages), key))
+        first = opened.filter("eventId = 'evt-00000000'").first()
+        assert first.payload == '{"MESSAGE_TYPE":"1100","CARD_NUMBER":null}' and first.source == "powercard-csv"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stages_read_only_what_they_use_and_never_shuffle(spark, key, tmp_path):
+    import re
+
+    from cardrail.operators import validation
+    from cardrail.plans import pipelines
+    from cardrail.plans.payments import INDEX, operations as payment_rows
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    path = str(tmp_path / "rows")
+    payment_rows(spark, SF).write.parquet(path)
+    opened = envelope.as_envelopes(spark.read.parquet(path), INDEX, now_ms=1)
+    valid = plan_of(validation.accepted(validation.validate(opened, 1)).select("eventId"))
+    read = re.search(r"ReadSchema: struct<([^>]*)>", valid).group(1)
+    assert {c.split(":")[0] for c in read.split(",")} == {INDEX, *validation.MANDATORY_FIELDS}
+    records = normalization.flatten(pipelines.canonical_from_open(opened, 1))
+    dates = plan_of(records.select("business_date"))
+    assert "CARD_ACC_NAME_ADDRESS" not in re.search(r"ReadSchema: struct<([^>]*)>", dates).group(1)
+    sealed = envelope.seal(opened, key, now_ms=1)
+    for df in (records, pipelines.canonical_from_sealed(sealed, key, 1), pipelines.rejects_from_sealed(sealed, key, 1)):
+        plan = plan_of(df)
+        assert "Exchange" not in plan and "Join" not in plan and "Python" not in plan
+    assert plan_of(pipelines.canonical_from_sealed(sealed, key, 1)).count("aesDecrypt") == 1
+
+
 def test_limit(spark):
     rows = spark.range(10).select(F.col("id").alias("row_idx"))
     assert operations.limit_rows(rows, 3).count() == 3 and operations.limit_rows(rows, 0).count() == 10
