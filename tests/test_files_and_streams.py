@@ -8,6 +8,7 @@ from cardrail.operators import envelope, monitoring, normalization
 from cardrail.plans import catalog
 from cardrail.schemas import (
     OPERATION_COLUMNS,
+    SOURCE_CSV,
     TOPIC_CDC,
     TOPIC_DECRYPTED,
     TOPIC_DLQ,
@@ -80,7 +81,7 @@ def test_publish_csv(spark, key, tmp_path):
         assert sorted(r.key for r in messages.collect()) == ids
         opened = decryption.accepted(decryption.decrypt(envelope.read_sealed(messages), key))
         first = opened.filter("eventId = 'evt-00000000'").first()
-        assert first.payload == '{"MESSAGE_TYPE":"1100","CARD_NUMBER":null}' and first.source == "powercard-csv"
+        assert first.payload == '{"MESSAGE_TYPE":"1100","CARD_NUMBER":null}' and first.source == SOURCE_CSV
 
 
 def plan_of(df):
