@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardrail.llm import byte_bpe, packing, token_files, warc
+from cardrail.llm import byte_bpe, packing, quality, token_files, warc
 from cardrail.llm.common import table
 from cardrail.session import scratch_path
 
@@ -18,6 +18,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_and_decode(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's quality score, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+    return found.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's ids written to ORC files in order of ``doc_id`` and read back."""
     path = scratch_path(spark, "token-files")
@@ -37,6 +44,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op7_token_files, op9_packing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op4_byte_bpe, op6_quality, op7_token_files, op9_packing, op10_warc)}
 
 ORACLE_SQL: dict[str, str] = {}
