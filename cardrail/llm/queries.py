@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardrail.llm import byte_bpe, packing, quality, token_files, warc
+from cardrail.llm import byte_bpe, main_text, packing, quality, token_files, warc
 from cardrail.llm.common import table
 from cardrail.session import scratch_path
 
@@ -18,6 +18,12 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_and_decode(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    pages = table(spark, sf_dir, "pages")
+    return main_text.extract(pages, main_text.learn(pages))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's quality score, learned from the rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -44,6 +50,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op6_quality, op7_token_files, op9_packing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op4_byte_bpe, op5_main_text, op6_quality, op7_token_files, op9_packing, op10_warc)}
 
 ORACLE_SQL: dict[str, str] = {}
