@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardrail.llm import byte_bpe, main_text, packing, quality, token_files, warc
+from cardrail.llm import byte_bpe, cover_tree, hnsw, main_text, packing, quality, token_files, warc
 from cardrail.llm.common import table
 from cardrail.session import scratch_path
 
@@ -13,6 +13,11 @@ BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest other vectors found for every vector whose id 100 divides."""
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), divisor=100, k=10)
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded to byte-level BPE ids and decoded again."""
     return byte_bpe.encode_and_decode(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
@@ -38,6 +43,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents_in(token_files.read_token_files(spark, path))
 
 
+def op8_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 greatest inner products, in units of 1/256, for every vector whose id 50 divides."""
+    return cover_tree.greatest(table(spark, sf_dir, "embeddings"), divisor=50, k=5, scale=256)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's pieces packed into sequences of at most 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), WORD_VOCABULARY, end_id=0)
@@ -50,6 +60,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op5_main_text, op6_quality, op7_token_files, op9_packing, op10_warc)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_hnsw, op4_byte_bpe, op5_main_text, op6_quality, op7_token_files, op8_top_products, op9_packing, op10_warc)
+}
 
 ORACLE_SQL: dict[str, str] = {}
