@@ -35,14 +35,29 @@ class Words:
         return np.fromiter(map(known.__getitem__, words), "u8", len(words))
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of an odd number and of its inverse, modulo 2**64; kept and grown as needed."""
+    if len(_power[0]) < n:
+        inverse = np.uint64(pow(int(_STEP), -1, 1 << 64))
+        for i, base in enumerate((_STEP, inverse)):
+            _power[i] = np.cumprod(np.r_[np.uint64(1), np.full(2 * n, base, "u8")], dtype="u8")
+    return _power[0][:n], _power[1][:n]
+
+
+_power: list[np.ndarray] = [np.ones(1, "u8"), np.ones(1, "u8")]
+
+
 def runs(words: np.ndarray, n: int) -> np.ndarray:
-    """The hash of every run of ``n`` words, by its place; none in a shorter text."""
+    """The hash of every run of ``n`` words, by its place; none in a shorter text.
+
+    A run is a polynomial in its words' hashes, taken from sums over the text's start, so that ``n`` costs nothing.
+    """
     if len(words) < n:
         return np.zeros(0, "u8")
-    out = np.zeros(len(words) - n + 1, "u8")
-    for i in range(n):
-        out = mix(out * _STEP + words[i : len(words) - n + 1 + i])
-    return out
+    up, down = _powers(len(words))
+    sums = np.zeros(len(words) + 1, "u8")
+    np.cumsum(words * up, out=sums[1:])
+    return mix((sums[n:] - sums[:-n]) * down[: len(words) - n + 1])
 
 
 _words: list[Words] = []
