@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardrail.llm import byte_bpe, cover_tree, hnsw, main_text, near_copies, packing, quality, token_files, warc
+from cardrail.llm import byte_bpe, cover_tree, hnsw, main_text, near_copies, packing, passages, quality, token_files, warc
 from cardrail.llm.common import table
 from cardrail.session import scratch_path
 
@@ -18,6 +18,12 @@ def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf_dir, "embeddings"), divisor=100, k=10)
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run of 50 words or more, in every document, that another document has too."""
+    found = passages.repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "n_words", "first_doc_id", "kept")
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near copies, and with how many it is linked directly."""
     return near_copies.classes(table(spark, sf_dir, "documents"))
@@ -67,7 +73,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_hnsw, op3_ngram_join, op4_byte_bpe, op5_main_text, op6_quality, op7_token_files, op8_top_products, op9_packing, op10_warc)
+    for f in (op1_hnsw, op2_passages, op3_ngram_join, op4_byte_bpe, op5_main_text, op6_quality, op7_token_files, op8_top_products, op9_packing, op10_warc)
 }
 
 ORACLE_SQL: dict[str, str] = {}
