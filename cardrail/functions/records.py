@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Parse options under which only standard JSON objects pass; the text of a record that does not fit
@@ -21,13 +23,17 @@ def parse_object(text: Column, fields: str) -> Column:
 def is_one_json_value(text: Column) -> Column:
     """True when the text is exactly one JSON value with nothing after it.
 
-    ``from_json`` stops after the first value. Counting the elements of ``[text]`` is a token scan
-    that builds nothing; the second form also admits ``NaN`` and runs only where the scan fails.
+    ``from_json`` stops after the first value. The text is put into a list and into an object of two
+    members; no stray closer can satisfy both. Counting their members is a token scan that builds
+    nothing; the parsed forms also admit ``NaN`` and run only where a scan fails.
     """
-    wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    scanned = F.coalesce(F.json_array_length(wrapped), F.lit(-1))
-    parsed = F.size(F.from_json(wrapped, "array<string>", JSON_OPTIONS))
-    return F.when(scanned >= 0, scanned == 1).otherwise(F.coalesce(parsed == 1, F.lit(False)))
+    names = F.array(F.lit("v"), F.lit("w"))
+    in_list = F.concat(F.lit("["), text, F.lit("]"))
+    in_object = F.concat(F.lit('{"v":'), text, F.lit(',"w":0}'))
+    scanned = (F.json_array_length(in_list) == 1) & (F.json_object_keys(in_object) == names)
+    listed = F.size(F.from_json(in_list, "array<string>", JSON_OPTIONS)) == 1
+    members = F.map_keys(F.from_json(in_object, "map<string,string>", JSON_OPTIONS)) == names
+    return F.coalesce(scanned, listed & members, F.lit(False))
 
 
 def member_json(text: Column, path: str) -> Column:
@@ -99,6 +105,11 @@ def last_wins(names: Column, values: Column) -> Column:
     )
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` evaluated once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def settled(parsed: Column) -> Column:
     """A parsed map with repeated names settled."""
     names = F.map_keys(parsed)
