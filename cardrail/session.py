@@ -55,6 +55,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder, in one step where the file system can; parents are made."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    system = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(new.getParent())
+    if not system.rename(old, new):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cardrail.schemas import OPERATION_TEXT_SCHEMA
+from cardrail.session import scratch_path
 
 # A quote inside a quoted field is doubled.
 _CSV = {"header": "true", "quote": '"', "escape": '"', "inferSchema": "false"}
@@ -46,22 +47,29 @@ def bulk_load(spark: SparkSession, path: str, multiline: bool = False) -> DataFr
 
 
 def with_row_index(scan: DataFrame, name: str = "row_idx") -> DataFrame:
-    """Adds a dense index from 0 in scan order, without sorting and without moving the rows.
+    """Adds a dense index from 0, by file name and place in the file, without sorting the rows.
 
-    Each partition is counted, the counts become start offsets (one row per partition), and the
-    offsets are joined back. ``scan`` has to be a file scan or a projection of one: both passes must
-    see the same partitions.
+    The rows of a file scan are stored once with the file and the offset of the split they came from;
+    sizes and places are both read from what is stored, so no two scans have to agree. A split's rows
+    lie in one stored file, in their order. The running total over splits takes one row for each of
+    them; a row whose split has no start is an error.
     """
-    offset_bits = 33
-    numbered = scan.withColumn("_place", F.monotonically_increasing_id())
-    partition = F.shiftright("_place", offset_bits)
-    sizes = numbered.groupBy(partition.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    within = F.col("_place").bitwiseAND(F.lit((1 << offset_bits) - 1))
-    # one row per input partition, whatever the size of the data
-    joined = numbered.withColumn("_part", partition).join(F.broadcast(starts), "_part")
-    return joined.select((F.col("_start") + within).alias(name), *scan.columns)
+    split = ["_split_file", "_split_at"]
+    rows = scan.select(
+        "*",
+        F.col("_metadata.file_path").alias(split[0]),
+        F.col("_metadata.file_block_start").alias(split[1]),
+    )
+    path = scratch_path(scan.sparkSession, "row-index")
+    rows.write.option("maxRecordsPerFile", 0).parquet(path)
+    stored = scan.sparkSession.read.schema(rows.schema).parquet(path)
+    stored = stored.select("*", F.col("_metadata.row_index").alias("_place"))
+    sizes = stored.groupBy(*split).agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0))).drop("_rows")
+    start = F.coalesce("_start", F.raise_error(F.concat(F.lit("no start for a split of "), F.col(split[0]))).cast("long"))
+    joined = stored.join(starts, split, "left")
+    return joined.select((start + F.col("_place") - F.col("_first")).alias(name), *scan.columns)
 
 
 def limit_rows(rows: DataFrame, limit: int, index: str = "row_idx") -> DataFrame:
