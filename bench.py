@@ -65,7 +65,7 @@ def main() -> None:
     records = pipelines.canonical_from_open(opened, catalog.NORMALIZED_MS)
     checked = validation.validate(opened, catalog.VALIDATED_MS)
     decrypted = decryption.decrypt(sealed, key, catalog.DECRYPTED_MS)
-    one_month = stored("one-month", catalog.canonical(spark, SF_DIR, catalog.ONE_MONTH))
+    canonical = stored("canonical", catalog.canonical(spark, SF_DIR))
     batches = iter(range(10_000))
 
     queries = {
@@ -91,7 +91,7 @@ def main() -> None:
             "bench",
             next(batches),
         ),
-        "canonical_store": lambda: files.write_canonical(one_month, f"{base}/store/{next(batches)}"),
+        "canonical_store": lambda: files.write_canonical(canonical, f"{base}/store/{next(batches)}"),
     }
     times = {name: best_of(run) for name, run in queries.items()}
     n = rows.count()

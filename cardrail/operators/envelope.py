@@ -68,9 +68,13 @@ def seal(
     iv: Column | None = None,
     now_ms: int | None = None,
 ) -> DataFrame:
-    """Replace the payload by its encrypted text. ``iv`` is random unless given (tests only)."""
+    """Replace the payload by its encrypted text. ``iv`` is random unless given (tests only).
+
+    A payload that is a text already is sealed as it is.
+    """
     seconds = (now_millis(now_ms) / 1000).cast("bigint")
-    plain = payload_json(F.col("payload")).cast("binary")
+    is_text = envelopes.schema["payload"].dataType.typeName() == "string"
+    plain = (F.col("payload") if is_text else payload_json(F.col("payload"))).cast("binary")
     body = tokens.token_body(plain, seconds, tokens.random_iv() if iv is None else iv, key)
     # the body gets a column first: its MAC and its text must come from one encryption
     return envelopes.withColumn("_body", body).select(

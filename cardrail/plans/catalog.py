@@ -24,11 +24,12 @@ from cardrail.operators import (
 )
 from cardrail.operators.stamps import latency
 from cardrail.plans import pipelines
-from cardrail.plans.payments import INDEX, ONE_MONTH, operations
+from cardrail.plans.payments import INDEX, operations
 from cardrail.schemas import (
     CANONICAL_DDL,
     OPERATION_COLUMNS,
     PAYLOAD_COLUMNS,
+    SOURCE_CSV,
     STATUS_TOPICS,
     TOPIC_CDC,
     TOPIC_DECRYPTED,
@@ -66,24 +67,20 @@ def repeatable_iv() -> Column:
     return F.substring(F.unhex(F.sha2(F.col("eventId"), 256)), 1, IV_BYTES)
 
 
-def envelopes(spark, sf_dir, columns=PAYLOAD_COLUMNS, replaced=None) -> DataFrame:
-    rows = operations(spark, sf_dir, columns, replaced)
-    return envelope.as_envelopes(rows, INDEX, columns, PRODUCED_MS)
+def envelopes(spark, sf_dir) -> DataFrame:
+    return envelope.as_envelopes(operations(spark, sf_dir), INDEX, PAYLOAD_COLUMNS, PRODUCED_MS)
 
 
-def sealed(spark, sf_dir, columns=PAYLOAD_COLUMNS, replaced=None) -> DataFrame:
-    opened = envelopes(spark, sf_dir, columns, replaced)
-    return envelope.seal(opened, sample_key(spark), repeatable_iv(), PRODUCED_MS)
+def sealed(spark, sf_dir) -> DataFrame:
+    return envelope.seal(envelopes(spark, sf_dir), sample_key(spark), repeatable_iv(), PRODUCED_MS)
 
 
 def checked(spark, sf_dir) -> DataFrame:
-    return validation.validate(envelopes(spark, sf_dir, validation.MANDATORY_FIELDS), VALIDATED_MS)
+    return validation.validate(envelopes(spark, sf_dir), VALIDATED_MS)
 
 
-def canonical(spark, sf_dir, replaced=None) -> DataFrame:
-    return pipelines.canonical_from_open(
-        envelopes(spark, sf_dir, replaced=replaced), NORMALIZED_MS
-    )
+def canonical(spark, sf_dir) -> DataFrame:
+    return pipelines.canonical_from_open(envelopes(spark, sf_dir), NORMALIZED_MS)
 
 
 def row_index(event_id: str = "eventId") -> Column:
@@ -100,7 +97,7 @@ def payload_members(df: DataFrame, *names: str) -> list[Column]:
 
 def topic_scan(spark, sf_dir):
     """Messages written to a topic and read back from its start."""
-    opened = envelopes(spark, sf_dir, ("CARD_NUMBER", "TRANSACTION_AMOUNT"))
+    opened = envelopes(spark, sf_dir)
     topic = FolderTopic(scratch_path(spark, "topics"), TOPIC_DECRYPTED)
     topic.append(envelope.keyed_messages(opened, envelope.open_text(opened)), "publisher")
     back = envelope.read_open(topic.read(spark))
@@ -108,7 +105,7 @@ def topic_scan(spark, sf_dir):
         F.col("eventId").alias("event_id"),
         "source",
         F.col("producedAt").alias("produced_at"),
-        *payload_members(back, "CARD_NUMBER", "TRANSACTION_AMOUNT"),
+        *payload_members(back, *PAYLOAD_COLUMNS),
     )
 
 
@@ -154,7 +151,7 @@ def bulk_load(spark, sf_dir):
 
 
 def change_events(spark, sf_dir) -> DataFrame:
-    """Change messages of every operation, flat and wrapped, with and without a row."""
+    """Change messages of every operation, flat and wrapped, with and without a row, some malformed."""
     rows = operations(spark, sf_dir)
     i = F.col(INDEX)
     after = F.struct(
@@ -163,21 +160,23 @@ def change_events(spark, sf_dir) -> DataFrame:
         F.lit("2025-01-01T00:00:00Z").alias("ingested_at"),
     )
     image = (
-        F.when(i % 7 == 4, "null")
-        .when(i % 7 == 5, "{}")
+        F.when(i % 10 == 4, "null")
+        .when(i % 10 == 5, "{}")
         .otherwise(F.to_json(after, KEEP_NULLS))
     )
-    op = F.element_at(F.array(*(F.lit(o) for o in "ccurdct")), (i % 7 + 1).cast("int"))
+    op = F.element_at(F.array(*(F.lit(o) for o in "ccurdctccc")), (i % 10 + 1).cast("int"))
     change = F.concat(
         F.lit('{"before":null,"after":'), image, F.lit(',"op":"'), op, F.lit('"}')
     )
     wrapped = F.concat(F.lit('{"payload":'), change, F.lit("}"))
-    return rows.select(i, F.when(i % 2 == 0, wrapped).otherwise(change).alias("value"))
+    value = F.when(i % 3 == 0, wrapped).otherwise(change)
+    tail = F.when(i % 10 == 7, "]").when(i % 10 == 8, '],[{"op":"c"}').when(i % 10 == 9, '},{"op":"c"').otherwise("")
+    return rows.select(i, F.concat(value, tail).alias("value"))
 
 
 def cdc_scan(spark, sf_dir):
     """A table snapshot as change messages in the change topic, read back."""
-    rows = operations(spark, sf_dir, ("MESSAGE_TYPE", "CARD_NUMBER"))
+    rows = operations(spark, sf_dir)
     table = rows.select(F.col(INDEX).alias("id"), *(F.col(c).alias(c.lower()) for c in rows.columns[1:]))
     topic = FolderTopic(scratch_path(spark, "topics"), TOPIC_CDC)
     topic.append(changes.snapshot(table).withColumn("key", F.lit(None).cast("string")), "snapshot")
@@ -185,8 +184,7 @@ def cdc_scan(spark, sf_dir):
     return read.select(
         F.col("after")["id"].try_cast("bigint").alias(INDEX),
         "op",
-        F.col("after")["message_type"].alias("message_type"),
-        F.col("after")["card_number"].alias("card_number"),
+        *(F.col("after")[c.lower()].alias(c.lower()) for c in PAYLOAD_COLUMNS),
     )
 
 
@@ -201,32 +199,65 @@ def limit_rows(spark, sf_dir):
 
 
 def envelope_build(spark, sf_dir):
-    columns = ("CARD_NUMBER", "MESSAGE_TYPE")
-    built = envelopes(spark, sf_dir, columns)
+    built = envelopes(spark, sf_dir)
     return built.select(
         F.col("eventId").alias("event_id"),
         F.col("schemaVersion").alias("schema_version"),
         "source",
         F.col("producedAt").alias("produced_at"),
-        *payload_members(built, *columns),
+        *payload_members(built, *PAYLOAD_COLUMNS),
     )
 
 
-def publish_rows(spark, sf_dir):
-    """Keyed messages as the publisher sends them; the token is told by its head and length."""
-    messages = envelope.sealed_messages(sealed(spark, sf_dir, ("MESSAGE_TYPE",)))
+def _opened_messages(messages: DataFrame, key: TokenKey) -> DataFrame:
+    """Published messages: the envelope, and every member of the payload that the token holds."""
     fields = "eventId string, schemaVersion string, source string, encrypted_payload string, producedAt bigint"
-    record = messages.select("key", F.from_json("value", fields).alias("r"))
-    return record.select(
+    records = messages.select("key", F.from_json("value", fields).alias("r")).select("key", "r.*")
+    opened = validation.open_payload(decryption.accepted(decryption.decrypt(records, key, DECRYPTED_MS)))
+    return opened.select(
         F.col("key").alias("message_key"),
-        F.col("r.eventId").alias("event_id"),
-        F.col("r.schemaVersion").alias("schema_version"),
-        F.col("r.source").alias("source"),
-        F.col("r.producedAt").alias("produced_at"),
-        F.substring(F.unbase64("r.encrypted_payload").cast("string"), 1, 5).alias("token_head"),
+        F.col("eventId").alias("event_id"),
+        F.col("schemaVersion").alias("schema_version"),
+        "source",
+        F.col("producedAt").alias("produced_at"),
+        *payload_members(opened, *PAYLOAD_COLUMNS),
     )
 
 
+def publish_rows(spark, sf_dir):
+    """Keyed messages as the publisher sends them, their tokens opened again."""
+    return _opened_messages(envelope.sealed_messages(sealed(spark, sf_dir)), sample_key(spark))
+
+
+def publish_csv(spark, sf_dir):
+    """CSV rows numbered, sealed and published with and without a row limit, then opened again.
+
+    The given rows come in no stated order, so numbers are checked as a whole: every one from 0 on.
+    """
+    path, key = _csv_folder(spark, sf_dir), sample_key(spark)
+    frames = []
+    for name, limit in (("all", 0), ("limited", REPORT_LIMIT)):
+        topic = FolderTopic(scratch_path(spark, "topics"), TOPIC_SEALED)
+        pipelines.publish_csv(spark, path, key, topic, limit)
+        opened = _opened_messages(topic.read(spark), key)
+        same = F.col("message_key") == F.col("event_id")
+        number = row_index("event_id")
+        frames.append(
+            opened.agg(
+                F.lit(name).alias("run"),
+                F.count(F.lit(1)).alias("messages"),
+                F.count_distinct(number).alias("numbers"),
+                F.min(number).alias("first_number"),
+                F.max(number).alias("last_number"),
+                F.count_if(same).alias("keyed"),
+                F.count_if(F.col("source") == SOURCE_CSV).alias("from_csv"),
+                F.count("message_type").alias("with_message_type") if not limit else F.lit(None).cast("bigint").alias("with_message_type"),
+                F.sum(F.col("reference_number").cast("bigint")).alias("reference_sum") if not limit else F.lit(None).cast("bigint").alias("reference_sum"),
+            )
+        )
+    return frames[0].unionByName(frames[1])
+
+
 def encrypt_decrypt_roundtrip(spark, sf_dir):
     """Every payload member after sealing and opening again."""
     opened = decryption.accepted(
@@ -241,9 +272,7 @@ def encrypt_decrypt_roundtrip(spark, sf_dir):
 def decrypt_ok(spark, sf_dir):
     """Envelope members of decrypted records, with the stage stamp."""
     opened = decryption.accepted(
-        decryption.decrypt(
-            sealed(spark, sf_dir, ("CARD_NUMBER", "MESSAGE_TYPE")), sample_key(spark), DECRYPTED_MS
-        )
+        decryption.decrypt(sealed(spark, sf_dir), sample_key(spark), DECRYPTED_MS)
     )
     parsed = validation.open_payload(opened)
     return parsed.select(
@@ -252,15 +281,17 @@ def decrypt_ok(spark, sf_dir):
         "source",
         F.col("producedAt").alias("produced_at"),
         F.col("_processing.decryptedAt").alias("decrypted_at"),
-        *payload_members(parsed, "CARD_NUMBER", "MESSAGE_TYPE"),
+        *payload_members(parsed, *PAYLOAD_COLUMNS),
     )
 
 
 def damaged_messages(spark, sf_dir) -> DataFrame:
-    """Sealed messages, most of them spoiled in one of eight ways by row index."""
-    columns = ("MESSAGE_TYPE", "CARD_NUMBER")
-    good = sealed(spark, sf_dir, columns)
+    """Sealed messages, most of them spoiled in one of eleven ways by row index."""
     i = row_index()
+    text = envelope.payload_json(F.col("payload"))
+    tail = F.when(i % 12 == 9, "]").when(i % 12 == 10, '],[{"a":1}').otherwise("")
+    opened = envelopes(spark, sf_dir).withColumn("payload", F.concat(text, tail))
+    good = envelope.seal(opened, sample_key(spark), repeatable_iv(), PRODUCED_MS)
     token = F.col("encrypted_payload")
     inner = F.unbase64(token).cast("string")
     body = F.unbase64(F.replace(F.replace(inner, F.lit("-"), F.lit("+")), F.lit("_"), F.lit("/")))
@@ -277,16 +308,21 @@ def damaged_messages(spark, sf_dir) -> DataFrame:
     )
     versioned = F.concat(F.unhex(F.lit("81")), F.substring(body, F.lit(2), n - 1))
     spoiled = (
-        F.when(i % 9 == 1, F.lit(None))
-        .when(i % 9 == 2, "")
-        .when(i % 9 == 3, "abcde")
-        .when(i % 9 == 4, packed(flipped))
-        .when(i % 9 == 5, packed(versioned))
-        .when(i % 9 == 6, F.replace(F.base64(F.lit("no token").cast("binary")), F.lit("\r\n")))
+        F.when(i % 12 == 1, F.lit(None))
+        .when(i % 12 == 2, "")
+        .when(i % 12 == 3, "abcde")
+        .when(i % 12 == 4, packed(flipped))
+        .when(i % 12 == 5, packed(versioned))
+        .when(i % 12 == 6, F.replace(F.base64(F.lit("no token").cast("binary")), F.lit("\r\n")))
         .otherwise(token)
     )
     record = F.to_json(F.struct("eventId", "schemaVersion", "source", spoiled.alias("encrypted_payload"), "producedAt"))
-    value = F.when(i % 9 == 7, F.concat(record, F.lit(" }"))).when(i % 9 == 8, "[1, 2]").otherwise(record)
+    value = (
+        F.when(i % 12 == 7, F.concat(record, F.lit(" }")))
+        .when(i % 12 == 8, "[1, 2]")
+        .when(i % 12 == 11, F.concat(record, F.lit("] junk")))
+        .otherwise(record)
+    )
     return good.select(F.col("eventId").alias("key"), value.alias("value"))
 
 
@@ -312,7 +348,7 @@ def dlq_decrypt(spark, sf_dir):
 
 def wrong_key(spark, sf_dir):
     """Records sealed under another key: all of them are dead letters."""
-    opened = envelopes(spark, sf_dir, ("MESSAGE_TYPE",))
+    opened = envelopes(spark, sf_dir)
     foreign = envelope.seal(opened, TokenKey(spark, OTHER_KEY), repeatable_iv(), PRODUCED_MS)
     decrypted = decryption.decrypt(foreign, sample_key(spark), DECRYPTED_MS)
     return decrypted.select(
@@ -322,7 +358,7 @@ def wrong_key(spark, sf_dir):
 
 def stage_latency(spark, sf_dir):
     """Milliseconds between the stamps of each accepted record."""
-    opened = envelopes(spark, sf_dir, validation.MANDATORY_FIELDS)
+    opened = envelopes(spark, sf_dir)
     stamped_once = envelope.seal(opened, sample_key(spark), repeatable_iv(), PRODUCED_MS)
     decrypted = decryption.accepted(
         decryption.decrypt(stamped_once, sample_key(spark), DECRYPTED_MS)
@@ -377,7 +413,7 @@ def cdc_envelope(spark, sf_dir):
         F.col("eventTime").alias("event_time"),
         F.col("_processing.cdcOp").alias("cdc_op"),
         F.col("_processing.cdcIngestedAt").alias("cdc_ingested_at"),
-        *payload_members(adapted, "MESSAGE_TYPE", "CARD_NUMBER"),
+        *payload_members(adapted, *PAYLOAD_COLUMNS),
     )
 
 
@@ -436,6 +472,7 @@ def split_valid(spark, sf_dir):
         F.col("eventId").alias("event_id"),
         F.col("validation.valid").alias("valid"),
         F.col("_processing.validatedAt").alias("validated_at"),
+        *payload_members(valid, *PAYLOAD_COLUMNS),
     )
 
 
@@ -447,26 +484,30 @@ def split_dlq(spark, sf_dir):
         F.col("validation.valid").alias("valid"),
         F.size("validation.errors").alias("errors"),
         F.col("_processing.validatedAt").alias("validated_at"),
+        *payload_members(rejects, *PAYLOAD_COLUMNS),
     )
 
 
 def odd_messages(spark, sf_dir) -> DataFrame:
-    """Open envelopes as texts; one in ten of them is whole, the others are odd in nine ways."""
-    columns = validation.MANDATORY_FIELDS
-    opened = envelopes(spark, sf_dir, columns)
+    """Open envelopes as texts; one in fourteen of them is whole, the others are odd in as many ways."""
+    opened = envelopes(spark, sf_dir)
     i = row_index()
     head = F.concat(F.lit('{"eventId":"'), F.col("eventId"), F.lit('","payload":'))
     whole = F.concat(head, envelope.payload_json(F.col("payload")), F.lit("}"))
     value = (
-        F.when(i % 10 == 1, F.concat(head, F.lit("null}")))
-        .when(i % 10 == 2, F.concat(head, F.lit("{}}")))
-        .when(i % 10 == 3, F.concat(head, F.lit('"text"}')))
-        .when(i % 10 == 4, F.concat(head, F.lit("[1]}")))
-        .when(i % 10 == 5, F.concat(head, F.lit("0}")))
-        .when(i % 10 == 6, F.concat(head, F.lit("7}")))
-        .when(i % 10 == 7, "not json")
-        .when(i % 10 == 8, "[]")
-        .when(i % 10 == 9, F.concat(head, F.lit('{},"_processing":null}')))
+        F.when(i % 14 == 1, F.concat(head, F.lit("null}")))
+        .when(i % 14 == 2, F.concat(head, F.lit("{}}")))
+        .when(i % 14 == 3, F.concat(head, F.lit('"text"}')))
+        .when(i % 14 == 4, F.concat(head, F.lit("[1]}")))
+        .when(i % 14 == 5, F.concat(head, F.lit("0}")))
+        .when(i % 14 == 6, F.concat(head, F.lit("7}")))
+        .when(i % 14 == 7, "not json")
+        .when(i % 14 == 8, "[]")
+        .when(i % 14 == 10, F.concat(head, F.lit("{}}]")))
+        .when(i % 14 == 11, F.concat(head, F.lit("{}}] junk")))
+        .when(i % 14 == 12, F.concat(head, F.lit("{}}],[{}")))
+        .when(i % 14 == 13, F.concat(head, F.lit("{}}},{}")))
+        .when(i % 14 == 9, F.concat(head, F.lit('{},"_processing":null}')))
         .otherwise(whole)
     )
     return opened.select(value.alias("value"))
@@ -594,23 +635,23 @@ def known_currency_semi(spark, sf_dir):
     return lookups.known_currency(df.select(INDEX, code.alias("currency")), "currency")
 
 
-def _decrypted(spark, sf_dir, columns) -> DataFrame:
+def _decrypted(spark, sf_dir) -> DataFrame:
     opened = decryption.accepted(
-        decryption.decrypt(sealed(spark, sf_dir, columns), sample_key(spark), DECRYPTED_MS)
+        decryption.decrypt(sealed(spark, sf_dir), sample_key(spark), DECRYPTED_MS)
     )
     return validation.open_payload(opened).drop("value", "fault")
 
 
 def union_sources(spark, sf_dir):
     """Decrypted rows and adapted changes as one input of validation."""
-    from_rows = _decrypted(spark, sf_dir, PAYLOAD_COLUMNS)
+    from_rows = _decrypted(spark, sf_dir)
     both = from_rows.unionByName(cdc_adapted(spark, sf_dir), allowMissingColumns=True)
     return both.select(
         F.col("eventId").alias("event_id"),
         "source",
         F.col("producedAt").alias("produced_at"),
         F.col("eventTime").alias("event_time"),
-        *payload_members(both, "CARD_NUMBER", "TRANSACTION_AMOUNT"),
+        *payload_members(both, *PAYLOAD_COLUMNS),
     )
 
 
@@ -635,13 +676,9 @@ def union_dlq(spark, sf_dir):
 
 
 def stage_counts(spark, sf_dir):
-    """Messages per topic for a run over both sources, empty topics included."""
-    events = change_events(spark, sf_dir)
-    adapted = cdc.adapt(events, PRODUCED_MS, F.format_string("chg-%d", F.col(INDEX)))
-    verdicts = validation.validate(adapted, VALIDATED_MS)
-    valid = verdicts.filter("valid")
-    frames = (events, adapted, valid, valid, verdicts.filter("NOT valid"))
-    return monitoring.stage_counts(dict(zip(STATUS_TOPICS, frames)))
+    """Messages per topic after a run of all stages over both sources."""
+    jobs = _finished_jobs(spark, sf_dir, changes=change_events(spark, sf_dir))
+    return monitoring.stage_counts({name: jobs.topic(name).read(spark) for name in STATUS_TOPICS})
 
 
 def load_count(spark, sf_dir):
@@ -649,14 +686,20 @@ def load_count(spark, sf_dir):
 
 
 def storage_usage(spark, sf_dir):
-    """Bytes and files of the datasets written for the canonical records."""
+    """Rows of the datasets written for the operations, and bytes where the format fixes them."""
     root = scratch_path(spark, "storage")
-    records = canonical(spark, sf_dir)
-    text = normalization.canonical_text(records)
-    files.write_json_lines(records, text, f"{root}/canonical")
-    files.write_json_parquet(records, text, f"{root}/canonical-parquet")
+    opened = envelopes(spark, sf_dir)
+    text = envelope.payload_json(F.col("payload"))
+    files.write_json_lines(opened, text, f"{root}/payloads")
+    files.write_json_parquet(opened, text, f"{root}/payloads-parquet")
     usage = monitoring.storage_usage(spark, root)
-    return usage.select("dataset", "bytes", "files")
+    stored = {
+        "payloads": read_text_messages(spark, f"{root}/payloads"),
+        "payloads-parquet": spark.read.parquet(f"{root}/payloads-parquet"),
+    }
+    rows = monitoring.stage_counts(stored).select(F.col("stage").alias("dataset"), F.col("messages").alias("rows"))
+    fixed = F.when(~F.col("dataset").endswith("-parquet"), F.col("bytes"))
+    return usage.join(rows, "dataset").select("dataset", fixed.alias("bytes"), (F.col("files") > 0).alias("has_files"), "rows")
 
 
 # --- sinks -----------------------------------------------------------------------------------
@@ -679,7 +722,7 @@ def parquet_roundtrip(spark, sf_dir):
 def canonical_partitioned(spark, sf_dir):
     """The store read back by its partition columns."""
     path = f"{scratch_path(spark, 'store')}/canonical"
-    files.write_canonical(canonical(spark, sf_dir, ONE_MONTH), path)
+    files.write_canonical(canonical(spark, sf_dir), path)
     store = spark.read.option("basePath", path).parquet(path)
     return store.groupBy(
         F.col("businessDate").cast("string").alias("business_date"), F.col("mti").cast("string").alias("mti")
@@ -689,24 +732,29 @@ def canonical_partitioned(spark, sf_dir):
     )
 
 
-def _finished_jobs(spark, sf_dir) -> Jobs:
+def _finished_jobs(spark, sf_dir, changes: DataFrame | None = None, store: bool = False) -> Jobs:
+    """The stages as streams over topics, run to the end of their input."""
     jobs = Jobs.in_folder(spark, scratch_path(spark, "jobs"), sample_key(spark))
-    messages = envelope.sealed_messages(sealed(spark, sf_dir, replaced=ONE_MONTH))
+    messages = envelope.sealed_messages(sealed(spark, sf_dir))
     jobs.topic(TOPIC_SEALED).append(messages, "publisher")
-    for start in (jobs.decryption, jobs.validation, jobs.normalization, jobs.store):
+    if changes is not None:
+        events = changes.select(F.lit(None).cast("string").alias("key"), "value")
+        jobs.topic(TOPIC_CDC).append(events, "connector")
+        jobs.cdc_adapter().awaitTermination()
+    for start in (jobs.decryption, jobs.validation, jobs.normalization, *([jobs.store] if store else [])):
         start().awaitTermination()
     return jobs
 
 
 def pipeline_stream(spark, sf_dir):
-    """The four stages as streams over topics, run to the end of their input."""
+    """The stages as streams over topics, up to the canonical texts."""
     jobs = _finished_jobs(spark, sf_dir)
     return _flat_from_text(jobs.topic(TOPIC_NORMALIZED).read(spark).select("value"))
 
 
 def stream_fanout(spark, sf_dir):
-    """Rows each output of the streams received."""
-    jobs = _finished_jobs(spark, sf_dir)
+    """Rows each output of the streams received, the partitioned store among them."""
+    jobs = _finished_jobs(spark, sf_dir, store=True)
     frames = {}
     for name in (TOPIC_SEALED, TOPIC_DECRYPTED, TOPIC_VALIDATED, TOPIC_NORMALIZED, TOPIC_DLQ):
         frames[name] = jobs.topic(name).read(spark)
@@ -715,6 +763,7 @@ def stream_fanout(spark, sf_dir):
         frames[f"{name}-parquet"] = (
             spark.read.option("recursiveFileLookup", "true").parquet(jobs.dataset(f"{name}-parquet"))
         )
+    frames["canonical-partitioned"] = spark.read.parquet(jobs.dataset("canonical-partitioned"))
     return monitoring.stage_counts(frames)
 
 
@@ -736,9 +785,10 @@ def pipeline_cdc(spark, sf_dir):
 
 
 def pipeline_dlq(spark, sf_dir):
-    """All rejects of the sealed pipeline, one row per error."""
+    """All rejects of both stages over good and damaged messages, one row per error."""
+    messages = damaged_messages(spark, sf_dir)
     return dead_letters.one_per_error(
-        pipelines.rejects_from_sealed(sealed(spark, sf_dir), sample_key(spark), VALIDATED_MS)
+        pipelines.rejects_from_sealed(envelope.read_sealed(messages), sample_key(spark), VALIDATED_MS)
     )
 
 
@@ -751,6 +801,7 @@ QUERIES: dict[str, Query] = {
         cdc_scan,
         limit_rows,
         publish_rows,
+        publish_csv,
         jsonl_roundtrip,
         parquet_roundtrip,
         canonical_partitioned,

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from cardrail.functions.codes import CURRENCIES, MERCHANT_CATEGORIES, MESSAGE_TYPES
 from cardrail.plans import catalog
-from cardrail.plans.payments import ONE_MONTH, operations_sql
+from cardrail.plans.payments import operations_sql
 from cardrail.schemas import (
     CANONICAL_SCHEMA,
     PAYLOAD_COLUMNS,
@@ -39,6 +39,7 @@ _TABLES = ",\n".join(
     )
 )
 
+# The date formats that are read, in the order they are tried.
 _FORMATS = "['%d/%m/%Y %H:%M:%S', '%d/%m/%Y', '%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%dT%H:%M:%SZ']"
 
 
@@ -67,7 +68,6 @@ _CUR = _text("TRANSACTION_CURRENCY")
 _EVENT = "printf('evt-%08d', row_idx)"
 
 _F1 = f"f1 AS ({operations_sql()})"
-_F1_ONE_MONTH = f"f1 AS ({operations_sql(ONE_MONTH)})"
 
 # Each row with its stripped fields and its verdict on every rule.
 _VERDICTS = f"""{_TABLES},
@@ -111,9 +111,9 @@ def _amount(prefix: str, field: str, code: str, alias: str) -> str:
     )
 
 
-def _canonical(event_id: str = "event_id", where: str = "", rows: str = _F1) -> str:
+def _canonical(event_id: str = "event_id", where: str = "") -> str:
     mcc = _text("CARD_ACCEPTOR_ACTIVITY")
-    return f"""WITH {rows}, {_VERDICTS}
+    return f"""WITH {_F1}, {_VERDICTS}
 SELECT {event_id} AS msg_id, '{CANONICAL_SCHEMA}' AS schema,
   {_iso("TRANSMISSION_DATE_AND_TIME")} AS cre_dt_tm, substr({_BUSINESS}, 1, 10) AS business_date,
   w.mti AS mti, mti_t.name AS mti_name, PROCESSING_CODE AS processing_code, ACTION_CODE AS action_code,
@@ -151,8 +151,8 @@ def _lower(*columns: str) -> str:
     return ", ".join(f"{c} AS {c.lower()}" for c in columns)
 
 
-_OP = "CASE row_idx % 7 WHEN 0 THEN 'c' WHEN 1 THEN 'c' WHEN 2 THEN 'u' WHEN 3 THEN 'r' WHEN 4 THEN 'd' WHEN 5 THEN 'c' ELSE 't' END"
-_ADAPTED = "row_idx % 7 < 4"
+_OP = "CASE row_idx % 10 WHEN 0 THEN 'c' WHEN 1 THEN 'c' WHEN 2 THEN 'u' WHEN 3 THEN 'r' WHEN 4 THEN 'd' WHEN 5 THEN 'c' WHEN 6 THEN 't' END"
+_ADAPTED = "row_idx % 10 < 4"
 
 # Errors in report order, with their place among the row's own errors.
 _ERRORS = f"""WITH {_CHECKED}, listed AS (
@@ -174,6 +174,9 @@ _DAMAGE = (
     (6, "InvalidToken: "),
     (7, "JSONDecodeError: not a single JSON value"),
     (8, "AttributeError: 'list' object has no attribute 'get'"),
+    (9, "JSONDecodeError: payload is not a single JSON value"),
+    (10, "JSONDecodeError: payload is not a single JSON value"),
+    (11, "JSONDecodeError: not a single JSON value"),
 )
 
 
@@ -198,58 +201,69 @@ def statements() -> dict[str, str]:
     for name in ("decrypted", "validated", "normalized", "canonical"):
         rows = everything if name == "decrypted" else valid
         stream += [(name, rows), (f"{name}-parquet", rows)]
-    status = [
-        (TOPIC_CDC, everything),
-        (TOPIC_DECRYPTED, _ADAPTED),
-        (TOPIC_VALIDATED, f"{_ADAPTED} AND {valid}"),
-        (TOPIC_NORMALIZED, f"{_ADAPTED} AND {valid}"),
-        (TOPIC_DLQ, f"{_ADAPTED} AND errors > 0"),
-    ]
+    stream.append(("canonical-partitioned", valid))
+    both = (
+        (TOPIC_DECRYPTED, everything),
+        (TOPIC_VALIDATED, valid),
+        (TOPIC_NORMALIZED, valid),
+        (TOPIC_DLQ, "errors > 0"),
+    )
+    status = f"SELECT '{TOPIC_CDC}' AS stage, count(*) AS messages FROM w" + "".join(
+        f" UNION ALL SELECT '{name}', count(*) FILTER ({rows}) + count(*) FILTER ({_ADAPTED} AND {rows}) FROM w"
+        for name, rows in both
+    )
     cdc_id = "'chg-' || CAST(row_idx AS STRING)"
     odd = f"""'{{"eventId":"' || {_EVENT} || '","payload":' || """
     flat = _canonical()
-    flat_month = _canonical(rows=_F1_ONE_MONTH)
+    payload = "to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in PAYLOAD_COLUMNS) + "))"
+    published = (
+        "count(*) AS messages, count(*) AS numbers, CAST(0 AS BIGINT) AS first_number, count(*) - 1 AS last_number, "
+        "count(*) AS keyed, count(*) AS from_csv"
+    )
     missing = ", ".join(
         f"(coalesce({c}, '') = '') AS {c.lower()}_missing"
         for c in ("MESSAGE_TYPE", "CARD_NUMBER", "TRANSACTION_AMOUNT", "TRANSACTION_CURRENCY")
     )
     return {
         "topic_scan": _f1(
-            f"{_EVENT} AS event_id, '{SOURCE_CSV}' AS source, CAST({catalog.PRODUCED_MS} AS BIGINT) AS produced_at, "
-            + _lower("CARD_NUMBER", "TRANSACTION_AMOUNT")
+            f"{_EVENT} AS event_id, '{SOURCE_CSV}' AS source, CAST({catalog.PRODUCED_MS} AS BIGINT) AS produced_at, {members}"
         ),
         "csv_scan": _f1(f"CAST(row_idx AS STRING) AS row_idx, {nullified}"),
         "bulk_load": _f1(f"true AS has_id, true AS has_ingested_at, {members}"),
-        "cdc_scan": _f1("row_idx, 'r' AS op, " + _lower("MESSAGE_TYPE", "CARD_NUMBER")),
+        "cdc_scan": _f1(f"row_idx, 'r' AS op, {members}"),
         "limit_rows": _f1(
             "row_idx, " + _lower("MESSAGE_TYPE", "TRANSACTION_AMOUNT"),
             f"ORDER BY row_idx LIMIT {catalog.REPORT_LIMIT}",
         ),
-        "publish_rows": _f1(f"{_EVENT} AS message_key, {opened}, 'gAAAA' AS token_head"),
+        "publish_rows": _f1(f"{_EVENT} AS message_key, {opened}, {members}"),
+        "publish_csv": f"""WITH {_F1} SELECT 'all' AS run, {published}, count(nullif(MESSAGE_TYPE, '')) AS with_message_type,
+  CAST(sum(CAST(REFERENCE_NUMBER AS BIGINT)) AS BIGINT) AS reference_sum FROM f1
+UNION ALL SELECT 'limited', {published}, NULL, NULL FROM (SELECT * FROM f1 LIMIT {catalog.REPORT_LIMIT})""",
         "jsonl_roundtrip": flat,
         "parquet_roundtrip": flat,
         "canonical_json": flat,
         "canonical_flat": flat,
         "pipeline_canonical": flat,
-        "pipeline_stream": flat_month,
-        "canonical_partitioned": f"SELECT business_date, mti, count(*) AS records, count(amount_value) AS with_amount FROM ({flat_month}) GROUP BY business_date, mti",
+        "pipeline_stream": flat,
+        "canonical_partitioned": f"SELECT business_date, mti, count(*) AS records, count(amount_value) AS with_amount FROM ({flat}) GROUP BY business_date, mti",
         "stream_fanout": f"WITH {_CHECKED} {_counts(stream)}",
-        "stage_counts": f"WITH {_CHECKED} {_counts(status)}",
-        "envelope_build": _f1(f"{opened}, " + _lower("CARD_NUMBER", "MESSAGE_TYPE")),
+        "stage_counts": f"WITH {_CHECKED} {status}",
+        "storage_usage": f"""WITH {_F1} SELECT 'payloads' AS dataset, CAST(sum(strlen({payload}) + 1) AS BIGINT) AS bytes,
+  true AS has_files, count(*) AS rows FROM f1 UNION ALL SELECT 'payloads-parquet', NULL, true, count(*) FROM f1""",
+        "envelope_build": _f1(f"{opened}, {members}"),
         "encrypt_decrypt_roundtrip": _f1(f"{_EVENT} AS event_id, {members}"),
         "decrypt_ok": _f1(
-            f"{opened}, CAST({catalog.DECRYPTED_MS} AS BIGINT) AS decrypted_at, "
-            + _lower("CARD_NUMBER", "MESSAGE_TYPE")
+            f"{opened}, CAST({catalog.DECRYPTED_MS} AS BIGINT) AS decrypted_at, {members}"
         ),
-        "dlq_decrypt": f"""WITH {_F1}, bad AS (SELECT CASE row_idx % 9 {damage} END AS error_message FROM f1 WHERE row_idx % 9 > 0)
+        "dlq_decrypt": f"""WITH {_F1}, bad AS (SELECT CASE row_idx % 12 {damage} END AS error_message FROM f1 WHERE row_idx % 12 > 0)
 SELECT 'decryption' AS stage, 'DECRYPT_FAILED' AS error_code, error_message,
   CAST({catalog.DECRYPTED_MS} AS BIGINT) AS rejected_at, count(*) AS messages FROM bad GROUP BY error_message""",
         "wrong_key": _f1(f"{_EVENT} AS event_id, 'InvalidToken: ' AS error_message"),
         "split_valid": _checked(
-            f"event_id, true AS valid, CAST({catalog.VALIDATED_MS} AS BIGINT) AS validated_at", f"WHERE {valid}"
+            f"event_id, true AS valid, CAST({catalog.VALIDATED_MS} AS BIGINT) AS validated_at, {members}", f"WHERE {valid}"
         ),
         "split_dlq": _checked(
-            f"event_id, 'validation' AS stage, false AS valid, CAST(errors AS INTEGER) AS errors, CAST({catalog.VALIDATED_MS} AS BIGINT) AS validated_at",
+            f"event_id, 'validation' AS stage, false AS valid, CAST(errors AS INTEGER) AS errors, CAST({catalog.VALIDATED_MS} AS BIGINT) AS validated_at, {members}",
             "WHERE errors > 0",
         ),
         "stage_latency": _checked(
@@ -259,8 +273,8 @@ SELECT 'decryption' AS stage, 'DECRYPT_FAILED' AS error_code, error_message,
             f"WHERE {valid}",
         ),
         "cdc_unwrap": _f1(
-            f"row_idx, {_OP} AS op, row_idx % 7 <> 4 AS has_after, "
-            f"CAST(CASE WHEN row_idx % 7 IN (4, 5) THEN 0 ELSE {len(PAYLOAD_COLUMNS) + 2} END AS INTEGER) AS after_columns"
+            f"row_idx, {_OP} AS op, row_idx % 10 NOT IN (4, 7, 8, 9) AS has_after, "
+            f"CAST(CASE WHEN row_idx % 10 IN (4, 5, 7, 8, 9) THEN 0 ELSE {len(PAYLOAD_COLUMNS) + 2} END AS INTEGER) AS after_columns"
         ),
         "cdc_op_filter": _f1(f"row_idx, {_OP} AS op", f"WHERE {_ADAPTED}"),
         "cdc_project": _f1(
@@ -270,7 +284,7 @@ SELECT 'decryption' AS stage, 'DECRYPT_FAILED' AS error_code, error_message,
         "cdc_envelope": _f1(
             f"{cdc_id} AS event_id, '{SOURCE_CDC}' AS source, "
             f"strftime(epoch_ms({catalog.PRODUCED_MS}), '%Y-%m-%dT%H:%M:%SZ') AS event_time, {_OP} AS cdc_op, "
-            f"CAST({catalog.PRODUCED_MS} AS BIGINT) AS cdc_ingested_at, " + _lower("MESSAGE_TYPE", "CARD_NUMBER"),
+            f"CAST({catalog.PRODUCED_MS} AS BIGINT) AS cdc_ingested_at, {members}",
             f"WHERE {_ADAPTED}",
         ),
         "mandatory_check": _f1(f"row_idx, {missing}"),
@@ -278,18 +292,24 @@ SELECT 'decryption' AS stage, 'DECRYPT_FAILED' AS error_code, error_message,
         "currency_check": _checked("row_idx, cur AS currency, NOT bad_cur AS currency_ok"),
         "luhn_check": _checked("row_idx, NOT bad_pan AS luhn_ok"),
         "validation_errors": f"{_ERRORS} SELECT event_id, position, code, field, value, value_bin FROM errs",
-        "pipeline_dlq": f"{_ERRORS} SELECT event_id, 'validation' AS stage, position, code, field, value, value_bin FROM errs",
+        "pipeline_dlq": f"""{_ERRORS}
+SELECT event_id, 'validation' AS stage, position, code, field, value, value_bin FROM errs
+WHERE CAST(substr(event_id, 5) AS BIGINT) % 12 = 0
+UNION ALL SELECT NULL, 'decryption', 0, 'DECRYPT_FAILED', NULL, NULL, NULL FROM f1 WHERE row_idx % 12 > 0""",
         "dlq_parse": f"""WITH {_F1} SELECT 'validation' AS stage, 'PARSE_FAILED' AS error_code,
-  CASE row_idx % 10 WHEN 3 THEN 'AttributeError: ''str'' object has no attribute ''get'''
+  CASE row_idx % 14 WHEN 3 THEN 'AttributeError: ''str'' object has no attribute ''get'''
    WHEN 4 THEN 'AttributeError: ''list'' object has no attribute ''get'''
    WHEN 6 THEN 'AttributeError: ''int'' object has no attribute ''get'''
-   WHEN 7 THEN 'JSONDecodeError: not a single JSON value'
+   WHEN 7 THEN 'JSONDecodeError: not a single JSON value' WHEN 10 THEN 'JSONDecodeError: not a single JSON value'
+   WHEN 11 THEN 'JSONDecodeError: not a single JSON value' WHEN 12 THEN 'JSONDecodeError: not a single JSON value'
+   WHEN 13 THEN 'JSONDecodeError: not a single JSON value'
    WHEN 8 THEN 'AttributeError: ''list'' object has no attribute ''get'''
    ELSE 'TypeError: ''NoneType'' object does not support item assignment' END AS error_message,
-  CASE row_idx % 10 WHEN 3 THEN {odd} '"text"}}' WHEN 4 THEN {odd} '[1]}}' WHEN 6 THEN {odd} '7}}'
-   WHEN 7 THEN 'not json' WHEN 8 THEN '[]' ELSE {odd} '{{}},"_processing":null}}' END AS original_message,
+  CASE row_idx % 14 WHEN 3 THEN {odd} '"text"}}' WHEN 4 THEN {odd} '[1]}}' WHEN 6 THEN {odd} '7}}'
+   WHEN 7 THEN 'not json' WHEN 8 THEN '[]' WHEN 10 THEN {odd} '{{}}}}]' WHEN 11 THEN {odd} '{{}}}}] junk'
+   WHEN 12 THEN {odd} '{{}}}}],[{{}}' WHEN 13 THEN {odd} '{{}}}}}},{{}}' ELSE {odd} '{{}},"_processing":null}}' END AS original_message,
   CAST({catalog.VALIDATED_MS} AS BIGINT) AS rejected_at
-FROM f1 WHERE row_idx % 10 IN (3, 4, 6, 7, 8, 9)""",
+FROM f1 WHERE row_idx % 14 IN (3, 4, 6, 7, 8, 9, 10, 11, 12, 13)""",
         "iso8601_dates": _f1(
             "row_idx, " + ", ".join(f"{_iso(c)} AS {c.lower()}" for c in catalog.DATE_COLUMNS)
         ),
@@ -324,12 +344,12 @@ FROM f1 WHERE row_idx % 10 IN (3, 4, 6, 7, 8, 9)""",
         "known_currency_semi": _f1(f"row_idx, {_CUR} AS currency", f"WHERE {_CUR} IN (SELECT code FROM cur_t)"),
         "union_sources": f"""WITH {_F1} SELECT {_EVENT} AS event_id, '{SOURCE_CSV}' AS source,
   CAST({catalog.PRODUCED_MS} AS BIGINT) AS produced_at, CAST(NULL AS STRING) AS event_time,
-  {_lower("CARD_NUMBER", "TRANSACTION_AMOUNT")} FROM f1
+  {members} FROM f1
 UNION ALL SELECT {cdc_id}, '{SOURCE_CDC}', NULL, strftime(epoch_ms({catalog.PRODUCED_MS}), '%Y-%m-%dT%H:%M:%SZ'),
-  CARD_NUMBER, TRANSACTION_AMOUNT FROM f1 WHERE {_ADAPTED}""",
+  {", ".join(PAYLOAD_COLUMNS)} FROM f1 WHERE {_ADAPTED}""",
         "union_dlq": f"""WITH {_CHECKED} SELECT 'decryption' AS stage, 'DECRYPT_FAILED' AS error_code,
   CAST(NULL AS STRING) AS event_id, CAST(NULL AS INTEGER) AS errors, CAST({catalog.DECRYPTED_MS} AS BIGINT) AS rejected_at
-FROM w WHERE row_idx % 9 > 0
+FROM w WHERE row_idx % 12 > 0
 UNION ALL SELECT 'validation', NULL, event_id, CAST(errors AS INTEGER), NULL FROM w WHERE errors > 0""",
         "load_count": "SELECT count(*) AS row_count FROM orders",
         "pipeline_cdc": _canonical(cdc_id, f"AND {_ADAPTED}"),

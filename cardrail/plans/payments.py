@@ -104,24 +104,12 @@ EXPRESSIONS = {
 
 INDEX = "row_idx"
 
-# All rows dated into the days of one month, as the business dates of a real input period are; order
-# dates alone would give a store folder per day of seven years.
-ONE_MONTH = {
-    "BUSINESS_DATE": "concat(lpad(CAST(o.o_orderkey % 28 + 1 AS STRING),2,'0'),'/09/2025')"
-}
-
 
 def operations(
-    spark: SparkSession,
-    sf_dir: str,
-    columns: tuple[str, ...] | list[str] = PAYLOAD_COLUMNS,
-    replaced: dict[str, str] | None = None,
+    spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | list[str] = PAYLOAD_COLUMNS
 ) -> DataFrame:
-    """``row_idx`` and the given text columns, one row per order.
-
-    ``replaced`` gives other expressions for some of the columns.
-    """
-    expressions = {c: (replaced or {}).get(c, EXPRESSIONS[c]) for c in columns}
+    """``row_idx`` and the given text columns, one row per order."""
+    expressions = {c: EXPRESSIONS[c] for c in columns}
     rows = spark.read.parquet(f"{sf_dir}/orders.parquet").alias("o")
     if any("c." in expression for expression in expressions.values()):
         customers = spark.read.parquet(f"{sf_dir}/customer.parquet").alias("c")
@@ -132,10 +120,9 @@ def operations(
     )
 
 
-def operations_sql(replaced: dict[str, str] | None = None) -> str:
+def operations_sql() -> str:
     """The same rows as a SELECT."""
-    expressions = {**EXPRESSIONS, **(replaced or {})}
-    columns = ",\n  ".join(f"{expressions[c]} AS {c}" for c in PAYLOAD_COLUMNS)
+    columns = ",\n  ".join(f"{EXPRESSIONS[c]} AS {c}" for c in PAYLOAD_COLUMNS)
     return (
         f"SELECT o.o_orderkey AS {INDEX},\n  {columns}\n"
         "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"

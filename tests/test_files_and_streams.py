@@ -61,7 +61,6 @@ def test_row_index_is_dense_in_file_order(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
     try:
         indexed = operations.with_row_index(operations.scan_csv(spark, path))
-        assert indexed.rdd.getNumPartitions() > 4
         rows = indexed.select("row_idx", F.col("A").cast("long").alias("a")).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -69,6 +68,13 @@ def test_row_index_is_dense_in_file_order(spark, tmp_path):
     assert all(r.row_idx == r.a for r in rows)
 
 
+def test_row_index_goes_by_file_name(spark, tmp_path):
+    for name, numbers in (("b.csv", range(3, 4)), ("a.csv", range(3)), ("c.csv", range(4, 9))):
+        path = write(tmp_path, name, "A\n" + "".join(f"{i}\n" for i in numbers))
+    rows = operations.with_row_index(operations.scan_csv(spark, path)).collect()
+    assert sorted((r.row_idx, int(r.A)) for r in rows) == [(i, i) for i in range(9)]
+
+
 def test_publish_csv(spark, key, tmp_path):
     from cardrail.operators import decryption
     from cardrail.plans import pipelines
@@ -118,10 +124,66 @@ def test_limit(spark):
 
 
 def test_kafka_options():
-    topic = KafkaTopic("host:9092", "payments", dict(PUBLISHER_OPTIONS))
+    topic = KafkaTopic("host:9092", "payments")
     read = topic.read_options(500)
     assert read["startingOffsets"] == "earliest" and read["maxOffsetsPerTrigger"] == "500"
-    assert topic.write_options()["kafka.acks"] == "all" and topic.write_options()["topic"] == "payments"
+    assert set(PUBLISHER_OPTIONS.items()) <= set(topic.write_options().items())
+    assert topic.write_options()["topic"] == "payments" and "groupIdPrefix" not in read
+    assert KafkaTopic("h", "t", {"kafka.acks": "1"}).write_options()["kafka.acks"] == "1"
+
+
+class Told(KafkaTopic):
+    """Writes to and reads from a folder, and tells the options it would have given a broker."""
+
+    told: list = []
+
+    def append(self, messages, producer, batch_id=0):
+        Told.told.append(("write", producer, self.write_options()))
+        FolderTopic(self.servers, self.name).append(messages, producer, batch_id)
+
+    def stream(self, spark, max_per_trigger=None):
+        Told.told.append(("read", self.consumer, self.read_options(max_per_trigger)))
+        return FolderTopic(self.servers, self.name).stream(spark, max_per_trigger)
+
+
+def test_jobs_and_publisher_use_the_delivery_settings(spark, key, tmp_path):
+    from cardrail.plans import pipelines
+
+    root = scratch_path(spark, "told")
+    Told.told.clear()
+    path = write(tmp_path, "a.csv", "MESSAGE_TYPE,CARD_NUMBER\n1100,4\n")
+    pipelines.publish_csv(spark, path, key, Told(f"{root}/topics", TOPIC_SEALED))
+    jobs = Jobs(spark, lambda name: Told(f"{root}/topics", name), f"{root}/data", f"{root}/checks", key)
+    jobs.decryption().awaitTermination()
+    jobs.validation().awaitTermination()
+    writes = [(who, options) for kind, who, options in Told.told if kind == "write"]
+    assert {who for who, _ in writes} >= {"publisher", "decryption"}
+    assert all(set(PUBLISHER_OPTIONS.items()) <= set(options.items()) for _, options in writes)
+    reads = {who: options["groupIdPrefix"] for kind, who, options in Told.told if kind == "read"}
+    assert reads == {"decryption": "decryption", "validation": "validation"}
+
+
+def test_readers_see_whole_batches_only(spark, monkeypatch):
+    from cardrail.sources import topics
+
+    topic = FolderTopic(scratch_path(spark, "t"), "x")
+    rows = spark.range(100).repartition(4).select(F.col("id").cast("string").alias("key"), F.lit("v").alias("value"))
+    checks, out = scratch_path(spark, "c"), scratch_path(spark, "o")
+
+    def read_on():
+        stream = topic.stream(spark).writeStream.option("checkpointLocation", checks).trigger(availableNow=True)
+        stream.format("parquet").option("path", out).start().awaitTermination()
+
+    topic.append(rows.limit(10), "p", 0)
+    with monkeypatch.context() as m:  # the writer dies when its files are written but not yet handed over
+        m.setattr(topics, "move", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            topic.append(rows, "p", 1)
+    read_on()
+    assert topic.read(spark).count() == 10 and spark.read.parquet(out).count() == 10
+    topic.append(rows, "p", 1)
+    read_on()
+    assert topic.read(spark).count() == 110 and spark.read.parquet(out).count() == 110
 
 
 def test_complete_batches_are_left_alone(spark):
@@ -138,16 +200,24 @@ def test_complete_batches_are_left_alone(spark):
 
 
 def test_store_folders(spark):
-    records = catalog.canonical(spark, SF, catalog.ONE_MONTH).persist()
+    records = catalog.canonical(spark, SF).persist()
     path = scratch_path(spark, "store")
     for _ in range(2):
         files.write_canonical(records, path, batch_id=4)
     store = spark.read.parquet(path)
     assert store.count() == records.count()
-    plan = store.filter("businessDate = '2025-09-03'")._jdf.queryExecution().executedPlan().toString()
+    assert store.filter("businessDate IS NULL").count() == records.filter("coalesce(businessDate, '') = ''").count() > 0
+    day = records.filter("businessDate > ''").first().businessDate
+    plan = store.filter(f"businessDate = '{day}'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(businessDate" in plan
-    folders = glob.glob(f"{path}/businessDate=2025-09-03/mti=*/batch_id=4/*.parquet")
-    assert len(folders) == len({os.path.dirname(f) for f in folders})
+    written = glob.glob(f"{path}/businessDate=*/mti=*/batch_id=4/*.parquet")
+    # a folder's rows lie in one task, but for those at the border between two
+    assert len(written) - len({os.path.dirname(f) for f in written}) < 16
+    coarse = scratch_path(spark, "store")
+    files.write_canonical(records, coarse, partition_by=("businessDate",))
+    by_day = spark.read.parquet(coarse)
+    assert by_day.count() == records.count() and not glob.glob(f"{coarse}/businessDate=*/mti=*")
+    assert by_day.filter("mti = '1200'").count() == records.filter("iso8583.mti = '1200'").count()
     records.unpersist()
 
 
@@ -175,6 +245,7 @@ def finished(spark, key):
     spark.streams.addListener(log)
     for start in (jobs.cdc_adapter, jobs.decryption, jobs.validation, jobs.normalization, jobs.store):
         start().awaitTermination()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
     spark.streams.removeListener(log)
     return jobs, log, messages.count()
 
@@ -186,7 +257,7 @@ def count(spark, jobs, topic):
 def test_streams_lose_nothing(spark, finished):
     jobs, _, sent = finished
     adapted = jobs.topic(TOPIC_DECRYPTED).read(spark).filter(F.col("value").contains('"cdcOp"')).count()
-    assert adapted == sum(1 for i in range(sent) if i % 7 < 4)
+    assert adapted == sum(1 for i in range(sent) if i % 10 < 4)
     good, bad = count(spark, jobs, TOPIC_VALIDATED), count(spark, jobs, TOPIC_DLQ)
     assert good + bad == sent + adapted
     assert count(spark, jobs, TOPIC_NORMALIZED) == good
@@ -205,9 +276,10 @@ def test_running_again_adds_nothing(spark, finished):
     assert before == {t: count(spark, jobs, t) for t in before}
 
 
-def test_progress_is_logged(finished):
+def test_progress_is_logged(spark, finished):
     _, log, sent = finished
-    assert log.sent.get("decryption", 0) in (0, sent)  # events arrive with a delay
+    assert log.sent["decryption"] == sent
+    assert log.rate["decryption"] > 0
 
 
 def test_batch_equals_stream(spark, finished):
@@ -225,7 +297,7 @@ def test_batch_equals_stream(spark, finished):
 
 def test_failure_between_outputs_leaves_each_row_once(spark, key, monkeypatch):
     jobs = Jobs.in_folder(spark, scratch_path(spark, "crash"), key)
-    messages = envelope.sealed_messages(catalog.sealed(spark, SF, ("MESSAGE_TYPE",)))
+    messages = envelope.sealed_messages(catalog.sealed(spark, SF))
     jobs.topic(TOPIC_SEALED).append(messages, "publisher")
     with monkeypatch.context() as m:
         m.setattr(files, "write_json_parquet", lambda *a: (_ for _ in ()).throw(OSError("lost")))
@@ -245,7 +317,7 @@ def test_failure_between_outputs_leaves_each_row_once(spark, key, monkeypatch):
 
 def test_one_query_gives_the_same_store(spark, key):
     jobs = Jobs.in_folder(spark, scratch_path(spark, "fused"), key, mask_dead_letters=True)
-    messages = envelope.sealed_messages(catalog.sealed(spark, SF, replaced=catalog.ONE_MONTH))
+    messages = envelope.sealed_messages(catalog.sealed(spark, SF))
     jobs.topic(TOPIC_SEALED).append(messages, "publisher")
     jobs.sealed_to_canonical().awaitTermination()
     good = spark.read.parquet(jobs.dataset("canonical-partitioned")).count()
