@@ -3,7 +3,8 @@
 A text is a bag of tokens: its words, the character n-grams of each word between marks, and a token of its own for each
 word that equals the one before it. Every token has a learned vector, found by hashing; the vectors of a text are
 averaged, and a softmax over two classes gives the score. Vectors and softmax weights are learned by stochastic gradient
-descent in numpy, over at most ``sample_rows`` labelled texts taken in the order of a hash of ``doc_id``.
+descent in numpy, in ``steps`` steps over at most ``sample_rows`` labelled texts taken in the order of a hash of
+``doc_id``.
 
 For scoring, the difference of the two classes' weights is multiplied into the vectors once: a token then has one
 number, a word has the sum of its tokens', and a text costs a look-up for each word. The broadcast model has
@@ -19,6 +20,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -34,7 +36,7 @@ class Settings:
     dimensions: int = 16
     shortest: int = 3
     longest: int = 5
-    epochs: int = 4
+    steps: int = 8_000
     rate: float = 0.3
     seed: int = 7
 
@@ -84,13 +86,13 @@ def fit(texts: list[str], labels: list[int], s: Settings | None = None) -> Model
     weights = np.zeros((2, s.dimensions), "f4")
     known: dict[str, list[int]] = {}
     bags = [_bag(t, s, known) for t in texts]
-    steps = max(1, s.epochs * len(bags))
-    for step, i in enumerate(i for _ in range(s.epochs) for i in draw.permutation(len(bags))):
+    order = (i for _ in range(-(-s.steps // max(1, len(bags)))) for i in draw.permutation(len(bags)))
+    for step, i in enumerate(islice(order, s.steps)):
         buckets, share = bags[i]
         hidden = share @ vectors[buckets]
         odds = np.exp(weights @ hidden - np.max(weights @ hidden))
         error = np.eye(2, dtype="f4")[labels[i]] - odds / odds.sum()
-        rate = s.rate * (1 - step / steps)
+        rate = s.rate * (1 - step / s.steps)
         moved = error @ weights
         weights += rate * np.outer(error, hidden)
         # a token's gradient is its share of the text, which is tiny: it moves in proportion to the largest share
