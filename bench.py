@@ -14,7 +14,7 @@ import time
 from cardrail.operators import cdc, dead_letters, decryption, envelope, normalization, validation
 from cardrail.plans import catalog, pipelines
 from cardrail.plans.payments import INDEX, operations
-from cardrail.schemas import PAYLOAD_COLUMNS, TOPIC_NORMALIZED
+from cardrail.schemas import RECORD_COLUMNS, TOPIC_NORMALIZED
 from cardrail.session import build_session, scratch_path
 from cardrail.sinks import files
 from cardrail.sources.topics import FolderTopic
@@ -59,7 +59,7 @@ def main() -> None:
 
     rows = stored("rows", operations(spark, SF_DIR))
     changes = stored("changes", catalog.change_events(spark, SF_DIR))
-    opened = envelope.as_envelopes(rows, INDEX, PAYLOAD_COLUMNS, catalog.PRODUCED_MS)
+    opened = envelope.as_envelopes(rows, INDEX, RECORD_COLUMNS, catalog.PRODUCED_MS)
     sealed = stored("sealed", envelope.seal(opened, key, now_ms=catalog.PRODUCED_MS))
     topic = FolderTopic(f"{base}/topics", TOPIC_NORMALIZED)
     records = pipelines.canonical_from_open(opened, catalog.NORMALIZED_MS)

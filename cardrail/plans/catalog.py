@@ -28,7 +28,7 @@ from cardrail.plans.payments import INDEX, operations
 from cardrail.schemas import (
     CANONICAL_DDL,
     OPERATION_COLUMNS,
-    PAYLOAD_COLUMNS,
+    RECORD_COLUMNS,
     SOURCE_CSV,
     STATUS_TOPICS,
     TOPIC_CDC,
@@ -68,7 +68,7 @@ def repeatable_iv() -> Column:
 
 
 def envelopes(spark, sf_dir) -> DataFrame:
-    return envelope.as_envelopes(operations(spark, sf_dir), INDEX, PAYLOAD_COLUMNS, PRODUCED_MS)
+    return envelope.as_envelopes(operations(spark, sf_dir), INDEX, RECORD_COLUMNS, PRODUCED_MS)
 
 
 def sealed(spark, sf_dir) -> DataFrame:
@@ -105,7 +105,7 @@ def topic_scan(spark, sf_dir):
         F.col("eventId").alias("event_id"),
         "source",
         F.col("producedAt").alias("produced_at"),
-        *payload_members(back, *PAYLOAD_COLUMNS),
+        *payload_members(back, *RECORD_COLUMNS),
     )
 
 
@@ -120,33 +120,20 @@ def _csv_folder(spark, sf_dir) -> str:
 def csv_scan(spark, sf_dir):
     """Rows written as CSV and scanned by header name, all as text."""
     rows = operation_files.scan_csv(spark, _csv_folder(spark, sf_dir))
-    return rows.select(F.col(INDEX), *(F.col(c).alias(c.lower()) for c in PAYLOAD_COLUMNS))
-
-
-def _table_rows(spark, sf_dir) -> DataFrame:
-    """Rows in the layout of the operations table; columns the tables cannot fill are null."""
-    rows = operations(spark, sf_dir)
-    filled = {c.lower() for c in PAYLOAD_COLUMNS}
-    return rows.select(
-        F.col(INDEX),
-        *(
-            F.col(c.upper()).alias(c) if c in filled else F.lit(None).cast("string").alias(c)
-            for c in OPERATION_COLUMNS
-        ),
-    )
+    return rows.select(F.col(INDEX), *(F.col(c).alias(c.lower()) for c in RECORD_COLUMNS))
 
 
 def bulk_load(spark, sf_dir):
-    """Table rows loaded by position from CSV; shows the filled columns and that ids are unique."""
+    """Table rows loaded by position from CSV, and that they have ids."""
     path = scratch_path(spark, "bulk")
-    writer = _table_rows(spark, sf_dir).drop(INDEX).write.option("header", True)
+    writer = operations(spark, sf_dir).drop(INDEX).write.option("header", True)
     writer = writer.option("escape", '"').option("nullValue", "").option("emptyValue", '""')
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     loaded = operation_files.bulk_load(spark, path)
     return loaded.select(
         (F.col("id") > 0).alias("has_id"),
         F.col("ingested_at").isNotNull().alias("has_ingested_at"),
-        *(c.lower() for c in PAYLOAD_COLUMNS),
+        *(c.lower() for c in RECORD_COLUMNS),
     )
 
 
@@ -156,7 +143,7 @@ def change_events(spark, sf_dir) -> DataFrame:
     i = F.col(INDEX)
     after = F.struct(
         i.alias("id"),
-        *(F.col(c).alias(c.lower()) for c in PAYLOAD_COLUMNS),
+        *(F.col(c).alias(c.lower()) for c in RECORD_COLUMNS),
         F.lit("2025-01-01T00:00:00Z").alias("ingested_at"),
     )
     image = (
@@ -184,7 +171,7 @@ def cdc_scan(spark, sf_dir):
     return read.select(
         F.col("after")["id"].try_cast("bigint").alias(INDEX),
         "op",
-        *(F.col("after")[c.lower()].alias(c.lower()) for c in PAYLOAD_COLUMNS),
+        *(F.col("after")[c.lower()].alias(c.lower()) for c in RECORD_COLUMNS),
     )
 
 
@@ -205,7 +192,7 @@ def envelope_build(spark, sf_dir):
         F.col("schemaVersion").alias("schema_version"),
         "source",
         F.col("producedAt").alias("produced_at"),
-        *payload_members(built, *PAYLOAD_COLUMNS),
+        *payload_members(built, *RECORD_COLUMNS),
     )
 
 
@@ -220,7 +207,7 @@ def _opened_messages(messages: DataFrame, key: TokenKey) -> DataFrame:
         F.col("schemaVersion").alias("schema_version"),
         "source",
         F.col("producedAt").alias("produced_at"),
-        *payload_members(opened, *PAYLOAD_COLUMNS),
+        *payload_members(opened, *RECORD_COLUMNS),
     )
 
 
@@ -265,7 +252,7 @@ def encrypt_decrypt_roundtrip(spark, sf_dir):
     )
     parsed = validation.open_payload(opened)
     return parsed.select(
-        F.col("eventId").alias("event_id"), *payload_members(parsed, *PAYLOAD_COLUMNS)
+        F.col("eventId").alias("event_id"), *payload_members(parsed, *RECORD_COLUMNS)
     )
 
 
@@ -281,7 +268,7 @@ def decrypt_ok(spark, sf_dir):
         "source",
         F.col("producedAt").alias("produced_at"),
         F.col("_processing.decryptedAt").alias("decrypted_at"),
-        *payload_members(parsed, *PAYLOAD_COLUMNS),
+        *payload_members(parsed, *RECORD_COLUMNS),
     )
 
 
@@ -395,7 +382,7 @@ def cdc_project(spark, sf_dir):
         INDEX,
         F.size("payload").alias("members"),
         F.array_contains(F.map_keys("payload"), "ID").alias("has_id"),
-        *payload_members(rows, *PAYLOAD_COLUMNS),
+        *payload_members(rows, *RECORD_COLUMNS),
     )
 
 
@@ -413,7 +400,7 @@ def cdc_envelope(spark, sf_dir):
         F.col("eventTime").alias("event_time"),
         F.col("_processing.cdcOp").alias("cdc_op"),
         F.col("_processing.cdcIngestedAt").alias("cdc_ingested_at"),
-        *payload_members(adapted, *PAYLOAD_COLUMNS),
+        *payload_members(adapted, *RECORD_COLUMNS),
     )
 
 
@@ -472,7 +459,7 @@ def split_valid(spark, sf_dir):
         F.col("eventId").alias("event_id"),
         F.col("validation.valid").alias("valid"),
         F.col("_processing.validatedAt").alias("validated_at"),
-        *payload_members(valid, *PAYLOAD_COLUMNS),
+        *payload_members(valid, *RECORD_COLUMNS),
     )
 
 
@@ -484,7 +471,7 @@ def split_dlq(spark, sf_dir):
         F.col("validation.valid").alias("valid"),
         F.size("validation.errors").alias("errors"),
         F.col("_processing.validatedAt").alias("validated_at"),
-        *payload_members(rejects, *PAYLOAD_COLUMNS),
+        *payload_members(rejects, *RECORD_COLUMNS),
     )
 
 
@@ -651,7 +638,7 @@ def union_sources(spark, sf_dir):
         "source",
         F.col("producedAt").alias("produced_at"),
         F.col("eventTime").alias("event_time"),
-        *payload_members(both, *PAYLOAD_COLUMNS),
+        *payload_members(both, *RECORD_COLUMNS),
     )
 
 

@@ -10,7 +10,7 @@ from cardrail.plans import catalog
 from cardrail.plans.payments import operations_sql
 from cardrail.schemas import (
     CANONICAL_SCHEMA,
-    PAYLOAD_COLUMNS,
+    RECORD_COLUMNS,
     SOURCE_CDC,
     SOURCE_CSV,
     TOPIC_CDC,
@@ -189,8 +189,8 @@ def _counts(pairs) -> str:
 
 def statements() -> dict[str, str]:
     damage = " ".join(f"WHEN {i} THEN {_quote(m)}" for i, m in _DAMAGE)
-    members = _lower(*PAYLOAD_COLUMNS)
-    nullified = ", ".join(f"nullif({c}, '') AS {c.lower()}" for c in PAYLOAD_COLUMNS)
+    members = _lower(*RECORD_COLUMNS)
+    nullified = ", ".join(f"nullif({c}, '') AS {c.lower()}" for c in RECORD_COLUMNS)
     opened = (
         f"{_EVENT} AS event_id, '1.0' AS schema_version, '{SOURCE_CSV}' AS source, "
         f"CAST({catalog.PRODUCED_MS} AS BIGINT) AS produced_at"
@@ -215,7 +215,7 @@ def statements() -> dict[str, str]:
     cdc_id = "'chg-' || CAST(row_idx AS STRING)"
     odd = f"""'{{"eventId":"' || {_EVENT} || '","payload":' || """
     flat = _canonical()
-    payload = "to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in PAYLOAD_COLUMNS) + "))"
+    payload = "to_json(struct_pack(" + ", ".join(f"{c} := {c}" for c in RECORD_COLUMNS) + "))"
     published = (
         "count(*) AS messages, count(*) AS numbers, CAST(0 AS BIGINT) AS first_number, count(*) - 1 AS last_number, "
         "count(*) AS keyed, count(*) AS from_csv"
@@ -274,11 +274,11 @@ SELECT 'decryption' AS stage, 'DECRYPT_FAILED' AS error_code, error_message,
         ),
         "cdc_unwrap": _f1(
             f"row_idx, {_OP} AS op, row_idx % 10 NOT IN (4, 7, 8, 9) AS has_after, "
-            f"CAST(CASE WHEN row_idx % 10 IN (4, 5, 7, 8, 9) THEN 0 ELSE {len(PAYLOAD_COLUMNS) + 2} END AS INTEGER) AS after_columns"
+            f"CAST(CASE WHEN row_idx % 10 IN (4, 5, 7, 8, 9) THEN 0 ELSE {len(RECORD_COLUMNS) + 2} END AS INTEGER) AS after_columns"
         ),
         "cdc_op_filter": _f1(f"row_idx, {_OP} AS op", f"WHERE {_ADAPTED}"),
         "cdc_project": _f1(
-            f"row_idx, CAST({len(PAYLOAD_COLUMNS)} AS INTEGER) AS members, false AS has_id, {members}",
+            f"row_idx, CAST({len(RECORD_COLUMNS)} AS INTEGER) AS members, false AS has_id, {members}",
             f"WHERE {_ADAPTED}",
         ),
         "cdc_envelope": _f1(
@@ -346,7 +346,7 @@ FROM f1 WHERE row_idx % 14 IN (3, 4, 6, 7, 8, 9, 10, 11, 12, 13)""",
   CAST({catalog.PRODUCED_MS} AS BIGINT) AS produced_at, CAST(NULL AS STRING) AS event_time,
   {members} FROM f1
 UNION ALL SELECT {cdc_id}, '{SOURCE_CDC}', NULL, strftime(epoch_ms({catalog.PRODUCED_MS}), '%Y-%m-%dT%H:%M:%SZ'),
-  {", ".join(PAYLOAD_COLUMNS)} FROM f1 WHERE {_ADAPTED}""",
+  {", ".join(RECORD_COLUMNS)} FROM f1 WHERE {_ADAPTED}""",
         "union_dlq": f"""WITH {_CHECKED} SELECT 'decryption' AS stage, 'DECRYPT_FAILED' AS error_code,
   CAST(NULL AS STRING) AS event_id, CAST(NULL AS INTEGER) AS errors, CAST({catalog.DECRYPTED_MS} AS BIGINT) AS rejected_at
 FROM w WHERE row_idx % 12 > 0

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardrail.schemas import PAYLOAD_COLUMNS
+from cardrail.schemas import RECORD_COLUMNS
 
 _DAY = (
     "concat(lpad(CAST(day(o.o_orderdate) AS STRING),2,'0'),'/',"
@@ -22,7 +22,7 @@ def _day_at(time: str) -> str:
     return _DAY.format(tail=f",' {time}'")
 
 
-EXPRESSIONS = {
+_READ = {
     "MESSAGE_TYPE": (
         "CASE o.o_orderkey % 12 WHEN 0 THEN '1100' WHEN 1 THEN '1110' WHEN 2 THEN '1120'"
         " WHEN 3 THEN '1200' WHEN 4 THEN '1210' WHEN 5 THEN '1220' WHEN 6 THEN '1420'"
@@ -102,11 +102,26 @@ EXPRESSIONS = {
     "ORIGINAL_AUTHORIZATION_CODE": "CAST(NULL AS STRING)",
 }
 
+
+def _unread(i: int, name: str) -> str:
+    """A column that no stage reads: numbers, codes, texts and dates by turns, with nulls and empty texts."""
+    kinds = (
+        f"lpad(CAST((o.o_orderkey * {i + 7}) % 1000000 AS STRING),6,'0')",
+        f"CASE WHEN o.o_orderkey % {i % 5 + 2} = 0 THEN NULL ELSE concat('V',CAST(o.o_custkey % {i + 11} AS STRING)) END",
+        f"CASE WHEN o.o_orderkey % {i % 4 + 2} = 0 THEN '' ELSE c.c_mktsegment END",
+        _DATE_ONLY,
+        f"concat(o.o_orderpriority,' {name.lower()}')",
+    )
+    return kinds[i % len(kinds)]
+
+
+EXPRESSIONS = {c: _READ.get(c) or _unread(i, c) for i, c in enumerate(RECORD_COLUMNS)}
+
 INDEX = "row_idx"
 
 
 def operations(
-    spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | list[str] = PAYLOAD_COLUMNS
+    spark: SparkSession, sf_dir: str, columns: tuple[str, ...] | list[str] = RECORD_COLUMNS
 ) -> DataFrame:
     """``row_idx`` and the given text columns, one row per order."""
     expressions = {c: EXPRESSIONS[c] for c in columns}
@@ -122,7 +137,7 @@ def operations(
 
 def operations_sql() -> str:
     """The same rows as a SELECT."""
-    columns = ",\n  ".join(f"{EXPRESSIONS[c]} AS {c}" for c in PAYLOAD_COLUMNS)
+    columns = ",\n  ".join(f"{EXPRESSIONS[c]} AS {c}" for c in RECORD_COLUMNS)
     return (
         f"SELECT o.o_orderkey AS {INDEX},\n  {columns}\n"
         "FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"

@@ -47,6 +47,9 @@ source_account_number source_account_type start_expiry_date current_table_indica
 
 OPERATION_TEXT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in OPERATION_COLUMNS])
 
+# A record holds every text column of the table, named in upper case.
+RECORD_COLUMNS = tuple(c.upper() for c in OPERATION_COLUMNS)
+
 # The columns the stages read, named as they are inside a payload.
 PAYLOAD_COLUMNS = tuple("""
 MESSAGE_TYPE CARD_NUMBER TRANSACTION_AMOUNT TRANSACTION_CURRENCY BILLING_CURRENCY
