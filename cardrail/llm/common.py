@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardrail.session import scratch_path
 
@@ -26,6 +26,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:
+    """At most ``rows`` rows, those of smallest hash of ``key``.
+
+    A threshold on the hash leaves about twice as many first, so that tasks send few rows however many there are.
+    """
+    total, place = df.count(), F.xxhash64(*key)
+    if total > 4 * rows:
+        df = df.filter(F.pmod(place, F.lit(1 << 40)) < (1 << 40) * 2 * rows // total)
+    return df.orderBy(F.pmod(place, F.lit(1 << 40)), *key).limit(rows)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have (names compare without case)."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -31,6 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from cardrail.llm import labelled_pages
+from cardrail.llm.common import bounded_sample
 
 #: Element names of HTML, by what they mean for a text.
 RAW = frozenset("script style noscript template textarea title iframe svg math object select button option".split())
@@ -233,8 +234,8 @@ NOT_CONTENT = frozenset({"tag:nav", "tag:aside", "tag:footer", "tag:form", "tag:
 
 def learn(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Weights:
     """Weights from the labelled layouts, and from at most ``sample_pages`` of the given pages, by a hash of their id."""
-    found = pages.select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html"))
-    rows = [r.html for r in found.limit(sample_pages).collect()]
+    found = bounded_sample(pages.select("page_id", "html"), sample_pages, "page_id", "html")
+    rows = [r.html for r in found.collect()]
     layouts = [read(page) for page in labelled_pages.pages()]
     own = [p for p in map(self_labelled, rows) if p]
     return fit([*layouts, *own])
