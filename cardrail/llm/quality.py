@@ -25,6 +25,8 @@ from itertools import islice
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from cardrail.llm.common import bounded_sample
+
 AGAIN, START = "\x02again", "\x02start"
 REMEMBERED_WORDS = 400_000
 
@@ -132,7 +134,7 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings | None = None) -> Mode
     s = s or Settings()
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     marks = marks.filter("doc_id is not null and quality in (0, 1)").filter(~held_out())
-    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(s.sample_rows)
+    marks = bounded_sample(marks, s.sample_rows, "doc_id", "quality")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(marks), "doc_id")
     texts = texts.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "text").limit(s.sample_rows)
     rows = texts.select(F.coalesce("text", F.lit("")).alias("text"), "quality").collect()
