@@ -102,9 +102,9 @@ def search(
 ) -> DataFrame:
     """The ``k`` best answers to each query over all shards.
 
-    Each block meets each shard of its width once, in a task of its own. ``find`` gets the index, the query ids and the
-    query vectors, and yields (query_id, vec_id, score), at most ``k`` for each query; these are merged by ``best``,
-    then by id.
+    Each block meets each shard of its width once; a task takes the pairs of a shard one after another. ``find`` gets the
+    index, the query ids and the query vectors, and yields (query_id, vec_id, score), at most ``k`` for each query; these
+    are merged by ``best``, then by id.
     """
 
     def run(batches):
@@ -120,7 +120,7 @@ def search(
                 yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
     places = index.select("shard", "width").distinct()
-    pairs = blocks.join(places, "width").repartition("shard", "block").join(index, ["shard", "width"])
+    pairs = blocks.join(places, "width").join(index, ["shard", "width"])
     found = pairs.select("index", "queries", "vectors", "width").mapInArrow(
         run, f"query_id long, vec_id long, score {score}"
     )
