@@ -1,8 +1,9 @@
 """Uniform access to payload members.
 
-A payload is either an open ``MAP<STRING,STRING>`` (parsed from JSON) or a ``STRUCT`` of typed columns
-(read from a table). With a struct, Catalyst resolves each member to its source column, so a stage
-that looks at four members makes the scan read four columns.
+A payload is an open ``MAP<STRING,STRING>``, a ``STRUCT`` of table columns, or a ``STRUCT`` of the members
+that the stages read, parsed from the JSON text beside it. With table columns, Catalyst resolves each
+member to its source, so a stage that looks at four members makes the scan read four columns. With a
+parsed struct a member is a field and no search; the text tells whether a null member is there.
 """
 
 from __future__ import annotations
@@ -11,10 +12,20 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cardrail.functions.text import strip
 
+# The column that holds the text of a parsed payload.
+PAYLOAD_TEXT = "payload_json"
+
 
 class Payload:
-    def __init__(self, column: Column, members: frozenset[str] | None, none_as_text: bool = True):
+    def __init__(
+        self,
+        column: Column,
+        members: frozenset[str] | None,
+        none_as_text: bool = True,
+        source: Column | None = None,
+    ):
         self._column = column
+        self._source = source
         self._members = members
         self._none_as_text = none_as_text
 
@@ -22,7 +33,8 @@ class Payload:
     def of(cls, df: DataFrame, name: str = "payload", none_as_text: bool = True) -> "Payload":
         dtype = df.schema[name].dataType
         if isinstance(dtype, T.StructType):
-            return cls(F.col(name), frozenset(dtype.fieldNames()), none_as_text)
+            source = F.col(PAYLOAD_TEXT) if PAYLOAD_TEXT in df.columns else None
+            return cls(F.col(name), frozenset(dtype.fieldNames()), none_as_text, source)
         if isinstance(dtype, T.MapType):
             return cls(F.col(name), None, none_as_text)
         raise TypeError(f"payload column {name!r} must be a map or a struct, not {dtype.simpleString()}")
@@ -33,6 +45,8 @@ class Payload:
             return F.try_element_at(self._column, F.lit(member))
         if member in self._members:
             return self._column.getField(member)
+        if self._source is not None:
+            raise KeyError(f"{member} was not parsed")
         return F.lit(None).cast("string")
 
     def text(self, member: str) -> Column:
@@ -42,13 +56,15 @@ class Payload:
         downstream results depend on it; ``none_as_text=False`` reads a null as empty instead.
         """
         value = self.raw(member)
-        if self._members is not None:
+        if self._source is not None:
+            present = F.array_contains(F.json_object_keys(self._source), member)
+        elif self._members is not None:
             present = F.lit(member in self._members)
         else:
             present = F.map_contains_key(self._column, member)
         if not self._none_as_text or (self._members is not None and member not in self._members):
             return strip(F.coalesce(value, F.lit("")))
-        if self._members is not None:
+        if self._members is not None and self._source is None:
             return strip(F.coalesce(value, F.lit("None")))
-        # try_element_at first: presence is looked up only where the value is null
+        # the value first: presence is looked up only where it is null
         return strip(F.coalesce(value, F.when(present, F.lit("None")), F.lit("")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardrail.functions import tokens
+from cardrail.functions.payload import PAYLOAD_TEXT
 from cardrail.functions.records import (
     CORRUPT,
     JSON_BLANKS,
@@ -206,7 +207,9 @@ def open_text(envelopes: DataFrame, *more: str) -> Column:
     """
     names = [c for c in (*ENVELOPE_HEAD, "_processing", *more) if c in envelopes.columns]
     dtype = envelopes.schema["payload"].dataType.typeName()
-    if dtype == "string":
+    if PAYLOAD_TEXT in envelopes.columns:
+        payload = F.col(PAYLOAD_TEXT)
+    elif dtype == "string":
         payload = F.col("payload")
     else:
         payload = payload_json(F.col("payload"))

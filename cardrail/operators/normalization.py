@@ -12,7 +12,7 @@ from cardrail.functions.payload import Payload
 from cardrail.functions.records import KEEP_NULLS, splice
 from cardrail.functions.text import empty_to_null, strip
 from cardrail.operators.stamps import now_millis, stamped
-from cardrail.operators.validation import PARSE_FAILED, open_payload
+from cardrail.operators.validation import PARSE_FAILED, parse_payload
 from cardrail.schemas import CANONICAL_SCHEMA
 
 STAGE = "normalization"
@@ -125,7 +125,7 @@ def normalize(
     envelopes: DataFrame, now_ms: int | None = None, none_as_text: bool = True
 ) -> DataFrame:
     """The canonical record: a closed projection, whatever else the envelope holds."""
-    opened = open_payload(envelopes)
+    opened = parse_payload(envelopes)
     p = Payload.of(opened, none_as_text=none_as_text)
     raw, text = p.raw, p.text
     # What is parsed and then read more than once gets a column of its own first; building the

@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from cardrail.functions.cards import BIN_LENGTH, mask_pan, passes_luhn
 from cardrail.functions.codes import is_known_currency, is_known_mti
-from cardrail.functions.payload import Payload
-from cardrail.functions.records import JSON_OPTIONS, fenced, is_falsy, settled
+from cardrail.functions.payload import PAYLOAD_TEXT, Payload
+from cardrail.functions.records import JSON_OPTIONS, bound, fenced, is_falsy, is_object_text, settled
 from cardrail.functions.text import is_empty, strip
 from cardrail.operators.envelope import no_get, open_text
 from cardrail.operators.stamps import now_millis, stamped
-from cardrail.schemas import ENVELOPE_HEAD, STRING_MAP
+from cardrail.schemas import ENVELOPE_HEAD, PAYLOAD_COLUMNS, STRING_MAP
 
 STAGE = "validation"
 
@@ -79,6 +79,28 @@ def open_payload(envelopes: DataFrame) -> DataFrame:
     return fenced(parsed, payload=whole, fault=fault).drop("_members")
 
 
+def parse_payload(
+    envelopes: DataFrame, members: tuple[str, ...] = PAYLOAD_COLUMNS
+) -> DataFrame:
+    """Parse the members that the stages read from a payload that is still JSON text.
+
+    The text itself stays beside them, for rejects and for the wire. Maps and structs are left alone;
+    faults are those of ``open_payload``.
+    """
+    if not isinstance(envelopes.schema["payload"].dataType, T.StringType):
+        return envelopes
+    text = F.col("payload")
+    usable = is_object_text(text) & ~is_falsy(text)
+    fault = F.when(~usable & ~F.coalesce(is_falsy(text), F.lit(True)), no_get(text))
+    if "fault" in envelopes.columns:
+        fault = F.coalesce(F.col("fault"), fault)
+    if "value" not in envelopes.columns:
+        envelopes = envelopes.withColumn("value", open_text(envelopes))
+    fields = ", ".join(f"{name} string" for name in members)
+    parsed = F.from_json(F.when(usable, text), fields, JSON_OPTIONS)
+    return fenced(envelopes.withColumn(PAYLOAD_TEXT, text), payload=parsed, fault=fault)
+
+
 def validate(
     envelopes: DataFrame, now_ms: int | None = None, none_as_text: bool = True
 ) -> DataFrame:
@@ -86,7 +108,7 @@ def validate(
 
     ``valid`` is a plain test without the error list, so keeping the valid records never builds it.
     """
-    opened = open_payload(envelopes)
+    opened = parse_payload(envelopes)
     checks = rules(Payload.of(opened, none_as_text=none_as_text))
     failed = reduce(or_, (test for test, _ in checks))
     none = F.array().cast(ERRORS_TYPE)
@@ -113,6 +135,9 @@ def accepted(checked: DataFrame) -> DataFrame:
 
 def payload_as_map(df: DataFrame) -> Column:
     """The payload as a map, so that rejects of every origin share one type."""
+    if PAYLOAD_TEXT in df.columns:
+        members = F.from_json(F.col(PAYLOAD_TEXT), STRING_MAP, JSON_OPTIONS)
+        return F.coalesce(bound(members, settled), F.create_map().cast(STRING_MAP))
     dtype = df.schema["payload"].dataType
     if isinstance(dtype, T.MapType):
         return F.col("payload")

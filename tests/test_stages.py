@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from cardrail.operators import cdc, dead_letters, envelope, normalization, validation
@@ -226,3 +227,61 @@ def test_change_envelope(spark):
 def test_event_ids_grow_past_eight_digits(spark):
     ids = spark.createDataFrame([(0,), (123456789,)], "i long").select(envelope.event_id(F.col("i")).alias("e"))
     assert [r.e for r in ids.collect()] == ["evt-00000000", "evt-123456789"]
+
+
+PAYLOAD_TEXTS = [
+    '{"MESSAGE_TYPE":"1100","CARD_NUMBER":"4539578763621486","TRANSACTION_AMOUNT":"1","TRANSACTION_CURRENCY":"840"}',
+    '{"MESSAGE_TYPE":null,"CARD_NUMBER":null,"TRANSACTION_AMOUNT":1.50,"TRANSACTION_CURRENCY":840,"BILLING_CURRENCY":null}',
+    '{"MESSAGE_TYPE":"9999","MESSAGE_TYPE":"1200","CARD_NUMBER":"1","OTHER":{"CARD_NUMBER":"2"},"TRANSACTION_AMOUNT":"x"}',
+    ' {"CARD_NUMBER":{"a":[1,2]},"MESSAGE_TYPE":true,"TRANSACTION_CURRENCY":" 978 ","TRANSACTION_AMOUNT":""} ',
+    '{"message_type":"1100"}',
+    "{}", "null", "0", '""', "[]", "false", "[1]", '"text"', "7", "true", None,
+]
+
+
+def test_parsed_members_equal_the_map(spark):
+    """Typed members and the open map give the same verdicts, rejects, records and wire texts."""
+    texts = spark.createDataFrame([(f"e{i}", t) for i, t in enumerate(PAYLOAD_TEXTS)], "eventId string, payload string")
+    typed, mapped = validation.validate(texts, 5), validation.validate(validation.open_payload(texts), 5)
+    assert typed.schema["payload"].dataType.typeName() == "struct"
+
+    def rows(df):
+        return sorted(map(str, df.toJSON().collect()))
+
+    for columns in (["eventId", "valid", "errors", "fault"],):
+        assert rows(typed.select(*columns)) == rows(mapped.select(*columns))
+    assert rows(validation.rejected(typed)) == rows(validation.rejected(mapped))
+    for none_as_text in (True, False):
+        a, b = (normalization.normalize(validation.accepted(df), 6, none_as_text) for df in (typed, mapped))
+        assert rows(a) == rows(b)
+    sent = validation.accepted(typed)
+    assert '"OTHER":{"CARD_NUMBER":"2"}' in str(rows(typed.select(envelope.open_text(typed).alias("t")))).replace("\\", "")
+    assert sent.count() == 1
+
+
+def test_a_member_that_was_not_parsed_is_an_error(spark):
+    from cardrail.functions.payload import Payload
+
+    texts = spark.createDataFrame([("e", "{}")], "eventId string, payload string")
+    with pytest.raises(KeyError):
+        Payload.of(validation.parse_payload(texts)).raw("USER_CREATE")
+
+
+def test_change_payload_is_built_once(spark):
+    from cardrail.plans import catalog
+
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    plan = catalog.pipeline_cdc(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert 1 <= plan.count("map_filter(") <= 2
+
+
+STRAY_CLOSERS = ['{"a":1}]', '{"a":1}] x', '{"a":1}],[{"b":2}', '{"a":1}},{"b":2}', '{"a":1},"w":0},{"v":1', '1,"w":0}', "1,2", ""]
+
+
+def test_one_value_and_no_more(apply):
+    from cardrail.functions.records import is_one_json_value
+
+    whole = ['{"a":1}', " [1, 2] ", '"x"', "7", "null", "true", "NaN", '{"v":1,"w":2}']
+    assert apply(is_one_json_value, whole) == [True] * len(whole)
+    assert apply(is_one_json_value, STRAY_CLOSERS) == [False] * len(STRAY_CLOSERS)
