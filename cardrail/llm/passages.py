@@ -3,7 +3,8 @@
 A passage is a run of ``length`` words that occurs in two documents or more. Of the runs of ``k`` words in every such
 window the one of least hash is its minimiser: equal windows select it at equal places, so only the suffixes that start
 at minimisers are retained. A retained suffix carries a hash for each window that selected it, that is, for the suffix
-extended ``l`` words to the left and ``length - l`` to the right, for every ``l`` it is answerable for.
+extended ``l`` words to the left and ``length - l`` to the right, for every ``l`` it is answerable for. In a text that repeats with a period, like ones follow at equal distances; they are one row that says how
+many and how far apart they are.
 
 1. The first words of the retained suffixes are counted. Suffixes that no other document starts with go no further.
 2. The others meet by their first words and are sorted in each extension; equal neighbours are occurrences of one
@@ -30,9 +31,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cardrail.llm.common import fresh, slices, written
-from cardrail.llm.ngrams import runs, words_in_worker
+from cardrail.llm.ngrams import mix, runs, words_in_worker
 
-SUFFIX_SCHEMA = "key long, doc_id long, at long, ends binary"
+SUFFIX_SCHEMA = "key long, doc_id long, at long, again long, ends binary"
 HIT_SCHEMA = "doc_id long, tag int, first_window int, last_window int, first_doc_id long"
 
 #: Suffixes compared at a time by a task.
@@ -59,8 +60,8 @@ def text_tag(text: str = "text") -> Column:
 def retained(texts: list[str], s: Settings) -> tuple[np.ndarray, ...]:
     """The retained suffixes of some texts.
 
-    Of each: the text's number, the key, the place, how far it reaches to the left, and how many windows it has; then
-    the windows' hashes, all in a row, from the farthest left on.
+    Of each: the text's number, the key, the place, how far it reaches to the left, how many like it follow (with it)
+    and how far apart, and how many windows it has; then the windows' hashes, all in a row, from the farthest left on.
     """
     words = [words_in_worker().hashes(t) for t in texts]
     sizes = np.array([len(w) for w in words])
@@ -71,7 +72,7 @@ def retained(texts: list[str], s: Settings) -> tuple[np.ndarray, ...]:
     window = np.flatnonzero(fits)
     if not len(window):
         none = np.zeros(0, int)
-        return none, none.astype("u8"), none, none, none, none.astype("u4")
+        return none, none.astype("u8"), none, none, none, none, none, none.astype("u4")
     grams, span = runs(joined, s.k), s.length - s.k + 1
     views = np.lib.stride_tricks.sliding_window_view(grams, span)
     at = np.concatenate([w + views[w].argmin(axis=1) for w in np.array_split(window, 1 + len(window) // 20_000)])
@@ -79,14 +80,28 @@ def retained(texts: list[str], s: Settings) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(new)
     number = text[window[first]]
     count = np.diff(np.r_[first, len(window)])
-    hashes = (runs(joined, s.length)[window] >> np.uint64(32)).astype("u4")
-    place = at[first]
-    return number, grams[place], place - starts[number], place - window[first], count, hashes
+    whole = runs(joined, s.length)[window]
+    place, left = at[first], at[first] - window[first]
+    # like the one before it, and as far from it as that one is from its own
+    content = np.add.reduceat(mix(whole + (np.arange(len(window)) - np.repeat(first, count)).astype("u8")), first)
+    like = np.ones(len(first), bool)
+    for column in (number, left, count, content):
+        like[1:] &= column[1:] == column[:-1]
+    gap = np.diff(place, prepend=place[0])
+    like[0] = False
+    head = ~like
+    head[1:] |= like[:-1] & (gap[1:] != gap[:-1])
+    some = np.flatnonzero(head)
+    times = np.diff(np.r_[some, len(head)])
+    apart = np.where(times > 1, gap[np.minimum(some + 1, len(gap) - 1)], 0)
+    hashes = (whole >> np.uint64(32)).astype("u4")[np.repeat(head, count)]
+    number, place = number[some], place[some]
+    return number, grams[place], place - starts[number], left[some], times, apart, count[some], hashes
 
 
 def suffixes(docs: DataFrame, s: Settings, whole: bool) -> DataFrame:
     """``key`` and ``doc_id`` of every retained suffix; if ``whole`` also ``at`` (place, reach to the left, tag of the
-    text) and ``ends`` (its windows' hashes). A narrow pass."""
+    text), ``again`` (how many, how far apart) and ``ends`` (its windows' hashes). A narrow pass."""
 
     def run(batches):
         import pyarrow as pa
@@ -95,14 +110,14 @@ def suffixes(docs: DataFrame, s: Settings, whole: bool) -> DataFrame:
             doc_ids, tags = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy().astype("i8")
             a = 0
             for texts in slices(batch.column("text").to_pylist()):
-                number, key, place, left, count, hashes = retained(texts, s)
+                number, key, place, left, times, apart, count, hashes = retained(texts, s)
                 at = place << 32 | left << 24 | tags[a + number]
                 columns = [pa.array(key.view("i8")), pa.array(doc_ids[a + number])]
                 if whole:
                     edges = pa.array(4 * np.r_[0, np.cumsum(count)], pa.int32())
                     ends = pa.Array.from_buffers(pa.binary(), len(count), [None, edges.buffers()[1], pa.py_buffer(hashes)])
-                    columns += [pa.array(at), ends]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "at", "ends"][: len(columns)])
+                    columns += [pa.array(at), pa.array(times << 8 | apart), ends]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "at", "again", "ends"][: len(columns)])
                 a += len(texts)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tag().alias("tag"), "text")
@@ -167,7 +182,10 @@ def _match(batches):
         a = np.flatnonzero(new)
         b = np.r_[a[1:], len(row)] - 1
         base = ((at >> 32) - left)[row[a]]
-        columns = [doc_id[row[a]], at[row[a]] & 0xFFFFFF, base + step[a], base + step[b], low[a]]
+        again = table.column("again").to_numpy()[row[a]]
+        # windows nearer than their length cover all words from the first to the last
+        far = ((again >> 8) - 1) * (again & 0xFF)
+        columns = [doc_id[row[a]], at[row[a]] & 0xFFFFFF, base + step[a], base + step[b] + far, low[a]]
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
         names = [f.split()[0] for f in HIT_SCHEMA.split(", ")]
         yield pa.RecordBatch.from_arrays([pa.array(c).cast(k) for c, k in zip(columns, kinds, strict=True)], names)
@@ -176,7 +194,7 @@ def _match(batches):
 def _match_apart(rows: DataFrame) -> DataFrame:
     """The same for keys of any number of suffixes: equal ones are added up, then each extension meets its equals."""
     left = F.shiftright("at", 24).bitwiseAND(F.lit(0xFF)).cast("int")
-    rows = rows.select("key", "doc_id", "at", "ends", left.alias("left"))
+    rows = rows.select("key", "doc_id", "at", "again", "ends", left.alias("left"))
     one = ["key", "left", "ends"]
     alike = rows.groupBy(*one).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     steps = F.sequence(F.lit(0), (F.octet_length("ends") / 4).cast("int") - 1)
@@ -187,10 +205,12 @@ def _match_apart(rows: DataFrame) -> DataFrame:
     found = found.filter("first_doc_id < last").drop("last")
     hits = F.collect_list(F.struct("step", "first_doc_id")).alias("hits")
     back = spread.join(found, ["key", "reach", "end"]).groupBy(*one).agg(hits)
-    rows = rows.join(back, one).select("doc_id", "at", "left", F.explode("hits").alias("hit"))
+    rows = rows.join(back, one).select("doc_id", "at", "again", "left", F.explode("hits").alias("hit"))
     window = (F.shiftright("at", 32) - F.col("left") + F.col("hit.step")).cast("int")
     tag = F.col("at").bitwiseAND(F.lit(0xFFFFFF)).cast("int").alias("tag")
-    return rows.select("doc_id", tag, window.alias("first_window"), window.alias("last_window"), "hit.first_doc_id")
+    far = ((F.shiftright("again", 8) - 1) * F.col("again").bitwiseAND(F.lit(0xFF))).cast("int")
+    last = (window + far).alias("last_window")
+    return rows.select("doc_id", tag, window.alias("first_window"), last, "hit.first_doc_id")
 
 
 def repeats(docs: DataFrame, s: Settings | None = None) -> DataFrame:

@@ -42,6 +42,8 @@ def rows():
     out += [[*words(draw, 30 + i), *passage, *words(draw, 20)] for i in range(12)]
     out.append(words(draw, 20_000) + passage)
     out += [["again"] * 200, ["again"] * 300 + ["end"]]
+    pair = ["one", "two"] * 90
+    out += [pair, ["zero", *pair], [*pair, *words(draw, 70), *pair[:80]], ["a", "b", "c"] * 40, ["c", "a", "b"] * 60]
     texts = [(i, "  ".join(w) + "\n") for i, w in enumerate(out)]
     return [*texts, (900, ""), (901, None), (902, " \n "), (None, texts[3][1]), (None, "alone " * 3), texts[5], (6, texts[41][1])]
 
