@@ -19,7 +19,7 @@ from itertools import chain
 
 from pyspark.sql import DataFrame
 
-from cardrail.llm.common import slices
+from cardrail.llm.common import held_in_worker, slices, small
 
 REMEMBERED_TOKENS = 300_000
 
@@ -116,14 +116,9 @@ class ByteBpe:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-_loaded: dict[tuple[str, str], ByteBpe] = {}
-
-
 def byte_bpe(path: str, pattern: str) -> ByteBpe:
     """The encoder of a rank file, loaded once in each Python worker."""
-    if (path, pattern) not in _loaded:
-        _loaded[path, pattern] = ByteBpe(path, pattern)
-    return _loaded[path, pattern]
+    return held_in_worker((path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def encode_and_decode(docs: DataFrame, path: str, pattern: str, with_ids: bool = False) -> DataFrame:
@@ -139,7 +134,7 @@ def encode_and_decode(docs: DataFrame, path: str, pattern: str, with_ids: bool =
 
         coder = byte_bpe(path, pattern)
         names = list(map(str, range(len(coder.tokens))))
-        for batch in batches:
+        for batch in small(batches):
             digests, extra = [], []
             for ids in coder.encode(batch.column("text").to_pylist()):
                 decoded = coder.decode(ids)

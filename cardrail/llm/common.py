@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cardrail.session import scratch_path
 
+T = TypeVar("T")
+
 #: Text handled at a time inside a task, in characters, so that Python lists of words stay small.
 SLICE_CHARS = 1_000_000
 
@@ -48,6 +51,24 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def small(batches, rows: int = 1_000) -> Iterator:
+    """The rows of Arrow batches in parts of at most ``rows``, so that texts become Python objects a few at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+_held: dict[object, object] = {}
+
+
+def held_in_worker(key: object, make: Callable[[], T]) -> T:
+    """What a Python worker keeps from task to task: one thing at a time, so that operators do not add up in it."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[list[str]]:
     """Consecutive runs of ``texts`` of about ``limit`` characters; a longer text is a run of its own."""
     run, size = [], 0

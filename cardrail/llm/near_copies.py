@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cardrail.llm.common import fresh, written
+from cardrail.llm.common import fresh, small, written
 from cardrail.llm.components import components
 from cardrail.llm.ngrams import mix, runs, words_in_worker
 
@@ -197,7 +197,7 @@ def signatures(docs: DataFrame, s: Settings) -> DataFrame:
         import pyarrow as pa
 
         hasher = MinHash(s)
-        for batch in batches:
+        for batch in small(batches):
             sizes, bands, known = [], [], {}
             for name, text in zip(batch.column("digest").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if name not in known:
@@ -239,7 +239,7 @@ def compare(docs: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     def to_sets(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in small(batches):
             sets = pa.array([ngram_set(t, s.n).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("digest", "copies", "shared")), sets], ["digest", "copies", "shared", "ngrams"]

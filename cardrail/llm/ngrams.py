@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from cardrail.llm.common import held_in_worker
+
 REMEMBERED_WORDS = 400_000
 
 _MIX_1, _MIX_2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -60,11 +62,6 @@ def runs(words: np.ndarray, n: int) -> np.ndarray:
     return mix((sums[n:] - sums[:-n]) * down[: len(words) - n + 1])
 
 
-_words: list[Words] = []
-
-
 def words_in_worker() -> Words:
     """The word hashes remembered by this Python worker."""
-    if not _words:
-        _words.append(Words())
-    return _words[0]
+    return held_in_worker("words", Words)

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from cardrail.llm.common import written
+from cardrail.llm.common import small, written
 from cardrail.llm.word_ids import word_ids
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -103,7 +103,7 @@ def cut(docs: DataFrame, vocabulary: str, end_id: int, tokens: int) -> DataFrame
         coder, end, step = word_ids(vocabulary), end_id.to_bytes(4, "little"), 4 * tokens
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             texts = batch.column("text").to_pylist()
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coder.encode(texts), strict=True):

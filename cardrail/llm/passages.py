@@ -30,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cardrail.llm.common import fresh, slices, written
+from cardrail.llm.common import fresh, slices, small, written
 from cardrail.llm.ngrams import mix, runs, words_in_worker
 
 SUFFIX_SCHEMA = "key long, doc_id long, at long, again long, ends binary"
@@ -106,7 +106,7 @@ def suffixes(docs: DataFrame, s: Settings, whole: bool) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in small(batches):
             doc_ids, tags = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy().astype("i8")
             a = 0
             for texts in slices(batch.column("text").to_pylist()):
@@ -268,7 +268,7 @@ def drop_repeats(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in small(batches):
             texts = [
                 t if not c or t is None else without(t, [(x["start"], x["n_words"]) for x in c])
                 for t, c in zip(batch.column("text").to_pylist(), batch.column(cuts).to_pylist(), strict=True)

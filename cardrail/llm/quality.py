@@ -25,10 +25,10 @@ from itertools import islice
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cardrail.llm.common import bounded_sample
+from cardrail.llm.common import bounded_sample, held_in_worker, small
 
 AGAIN, START = "\x02again", "\x02start"
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 300_000
 
 
 @dataclass(frozen=True)
@@ -141,16 +141,9 @@ def learn(docs: DataFrame, labels: DataFrame, s: Settings | None = None) -> Mode
     return fit([r.text for r in rows], [r.quality for r in rows], s)
 
 
-_scorers: dict[int, Scorer] = {}
-
-
 def _scorer(flat: np.ndarray, s: Settings) -> Scorer:
     """The scorer of a model, one in each Python worker, so that known words last from task to task."""
-    key = zlib.crc32(flat.tobytes())
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(flat, s)
-    return _scorers[key]
+    return held_in_worker(("scorer", zlib.crc32(flat.tobytes())), lambda: Scorer(flat, s))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -161,7 +154,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         import pyarrow as pa
 
         scorer = _scorer(*shared.value)
-        for batch in batches:
+        for batch in small(batches):
             scores = pa.array([scorer.score(t) for t in batch.column("text").to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
 
@@ -177,7 +170,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFram
         import pyarrow as pa
 
         scorer = _scorer(*shared.value)
-        for batch in batches:
+        for batch in small(batches):
             yield batch.filter(pa.array([scorer.score(t) >= threshold for t in batch.column("text").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

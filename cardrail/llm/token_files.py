@@ -14,6 +14,7 @@ import zlib
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from cardrail.llm.common import small
 from cardrail.llm.word_ids import word_ids
 from cardrail.session import path_exists
 
@@ -43,7 +44,7 @@ def encode_in_order(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
         part, place = TaskContext.get().partitionId(), 0
         coder, end = word_ids(vocabulary), end_id.to_bytes(4, "little")
-        for batch in batches:
+        for batch in small(batches):
             doc_id, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             packed = [ids + end for ids in coder.encode(texts)]
             ends = np.cumsum([0, *(len(ids) // 4 for ids in packed)], dtype="int32")
