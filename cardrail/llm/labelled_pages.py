@@ -36,10 +36,10 @@ LAYOUTS = (
     """<body data-label="1"><h1>{5}</h1><p>{40}</p><p>{60}</p></body>""",
     """<body data-label="0"><div class="banner advertisement">{14}</div><article data-label="1"><h1>{5}</h1><p>{12}</p><p>{90}</p>
     <aside class="pullquote advert" data-label="0">{16}</aside><p>{60}</p><p>{6}</p>
-    <section id="reader-comments" class="discussion" data-label="0"><h3>{2}</h3><p>{28}</p><ol><li>{22}</li><li>{30}</li></ol></section></article>
+    <ul><li><a>{4}</a></li><li><a>{6}</a></li></ul><p><a>{9}</a></p><section id="reader-comments" class="discussion" data-label="0"><h3>{2}</h3><p>{28}</p><ol><li>{22}</li><li>{30}</li></ol></section></article>
     <aside class="sidebar">{30}</aside><footer>{12}</footer></body>""",
     """<body data-label="0"><div role="navigation"><a>{1}</a><a>{2}</a></div><div role="banner">{8}</div><div role="main" data-label="1"><h1>{6}</h1>
-    <p>{50}</p><h2>{3}</h2><p>{40}</p><dl><dt>{2}</dt><dd>{10}</dd></dl></div><div role="complementary">{25}</div><div role="contentinfo">{12}</div>
+    <p>{50}</p><h2>{3}</h2><p>{40}</p><ol><li><a>{5}</a></li><li><a>{3}</a></li></ol><dl><dt>{2}</dt><dd>{10}</dd></dl></div><div role="complementary">{25}</div><div role="contentinfo">{12}</div>
     <div class="gdpr privacy">{18}</div><div class="login signup"><form><p>{8}</p></form></div></body>""",
 )
 

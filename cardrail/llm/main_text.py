@@ -10,6 +10,9 @@ that speaks for content they do not end the region.
 Labelled pages are (a) the layouts in ``labelled_pages`` and (b) a bounded sample of the given pages that name their
 article by an ``article`` or ``main`` element; what stands outside of it is labelled as not content.
 
+An element that by its meaning in HTML is no content (navigation, an aside, a footer, a dialog, a menu, anything hidden)
+scores negative whatever the weights, unless it holds the article itself.
+
 The text: character references decoded, white space inside a block turned into one space, blocks trimmed and joined by
 an empty line. A ``br`` is white space.
 
@@ -31,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from cardrail.llm import labelled_pages
-from cardrail.llm.common import bounded_sample
+from cardrail.llm.common import bounded_sample, small
 
 #: Element names of HTML, by what they mean for a text.
 RAW = frozenset("script style noscript template textarea title iframe svg math object select button option".split())
@@ -50,6 +53,10 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|data-label)\b(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s"'>]+))?""", re.I)
 WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
+#: Elements that hold a page's content, and elements that are not part of the text around them.
+CONTENT = frozenset({"tag:article", "tag:main"})
+NOT_CONTENT = frozenset({"tag:nav", "tag:aside", "tag:footer", "tag:dialog", "tag:menu", "hidden"})
+
 SAMPLE_PAGES = 400
 
 
@@ -67,6 +74,11 @@ class Block:
     def features(self) -> frozenset[str]:
         return self.around[-1]
 
+    def set_apart(self) -> bool:
+        """Whether it stands in an element that is no content, and in none that holds content within that."""
+        inner = next((a for a in self.around if a & NOT_CONTENT), None)
+        return inner is not None and not (self.features & CONTENT) - (inner & CONTENT)
+
     def shape(self) -> tuple[str, str]:
         share, n = self.linked / max(1, len(self.words)), len(self.words)
         return f"links:{math.ceil(4 * share)}", f"length:{min(6, n.bit_length())}"
@@ -153,7 +165,7 @@ class Weights:
         A block of negative weight in an element that speaks for content only interrupts it, and weighs nothing.
         """
         total = self.around(block.features)
-        weight = total + sum(self.places.get(f, 0.0) for f in (*block.shape(), "any"))
+        weight = -1.0 if block.set_apart() else total + sum(self.places.get(f, 0.0) for f in (*block.shape(), "any"))
         if weight <= 0 and any(self.around(f) > 1 for f in block.around[:-1]):
             return 0.0
         return max(-1.0, min(1.0, weight))
@@ -220,18 +232,13 @@ def main_text(html: str | None, weights: Weights) -> str:
 def self_labelled(html: str | None) -> tuple[list[Block], list[int | str]] | None:
     """A page that names its article, with the blocks in it labelled as content, unless an element in it says other."""
     blocks, sequence = read(html)
-    named = [b for b in blocks if b.features & {"tag:article", "tag:main"}]
-    if not named:
+    if not any(b.features & CONTENT for b in blocks):
         return None
     for block in blocks:
-        block.label = int(bool(block.features & {"tag:article", "tag:main"}) and not block.features & NOT_CONTENT)
+        block.label = int(bool(block.features & CONTENT) and not block.set_apart())
     return blocks, sequence
 
 
-#: Elements whose meaning in HTML is that they are not part of the text around them.
-NOT_CONTENT = frozenset({"tag:nav", "tag:aside", "tag:footer", "tag:form", "tag:dialog", "tag:menu", "hidden"})
-
-
 def learn(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Weights:
     """Weights from the labelled layouts, and from at most ``sample_pages`` of the given pages, by a hash of their id."""
     found = bounded_sample(pages.select("page_id", "html"), sample_pages, "page_id", "html")
@@ -248,7 +255,7 @@ def extract(pages: DataFrame, weights: Weights) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in small(batches):
             texts = [main_text(h, shared.value) for h in batch.column("html").to_pylist()]
             columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())]
             sizes = pa.array(list(map(len, texts)), pa.int64())
