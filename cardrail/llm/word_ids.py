@@ -4,27 +4,39 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterable, Iterator
+import re
+import unicodedata
+from collections.abc import Callable, Iterable, Iterator
 
 from cardrail.llm.byte_bpe import byte_characters
-from cardrail.llm.common import slices
+from cardrail.llm.common import held_in_worker, slices
 
-#: Chunks, and pieces of chunks, that a worker remembers; together they stay below some 150 MB.
-REMEMBERED_CHUNKS, REMEMBERED_PIECES = 400_000, 300_000
+#: Pieces of texts that a worker remembers; they stay below some 100 MB.
+REMEMBERED = 500_000
+
+
+def latin_splitter(pattern: str) -> Callable[[str], list[str]]:
+    """The vocabulary's pattern for lowered Latin-1 texts: its classes, which stand inside brackets, are spelled out."""
+    latin = [chr(i) for i in range(256)]
+    kinds = {rf"\p{{{k}}}": [c for c in latin if unicodedata.category(c)[0] == k] for k in "LN"}
+    # white space as the library sees it, which leaves out the separators U+001C to U+001F
+    kinds[r"\s"] = [c for c in latin if c.isspace() and not "\x1c" <= c <= "\x1f"]
+    for name, characters in kinds.items():
+        pattern = pattern.replace(name, "".join(map(re.escape, characters)))
+    return re.compile(pattern).findall
 
 
 class WordIds:
     """Encodes texts; ids come as little-endian unsigned 32-bit integers.
 
-    For a file that puts texts into NFC and lower case, splits them by a pattern and drops white space: no token
-    crosses a blank or a line break, so the ids of a text are the ids of its chunks in order. A chunk in Latin-1 is in
-    NFC already; it is lowered and split here, and the library's model encodes each of its pieces. Any other chunk
-    goes through the whole library. Both are then looked up.
+    For a file that puts texts into NFC and lower case, splits them by a pattern and drops white space. A text in Latin-1
+    is in NFC already; it is lowered and split here, and the library's model encodes each of its pieces. Of any other
+    text, no token crosses a blank or a line break, and each chunk in between goes through the whole library. Pieces and
+    chunks are encoded once and then looked up.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -36,47 +48,46 @@ class WordIds:
         split, as_bytes = rules["pre_tokenizer"]["pretokenizers"]
         if kinds != ["NFC", "Replace", "Lowercase"] or split["behavior"] != "Removed" or as_bytes["use_regex"]:
             raise ValueError(f"{path}: another normaliser or splitter than this class is for")
-        self.split = regex.compile(split["pattern"]["Regex"]).findall
+        self.split = latin_splitter(split["pattern"]["Regex"])
         self.to_characters = dict(enumerate(byte_characters()))
-        self.known: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
-
-    def _packed(self, ids: Iterable[int]) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        self.chunks: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
         mapped = piece.encode().decode("latin-1").translate(self.to_characters)
-        self.pieces[piece] = ids = self._packed(t.id for t in self.model.tokenize(mapped))
-        return ids
+        return b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped))
 
     def _chunk(self, chunk: str) -> bytes:
-        try:
-            chunk.encode("latin-1")
-        except UnicodeEncodeError:
-            return self._packed(self.library.encode(chunk, add_special_tokens=False).ids)
-        pieces = self.pieces
-        return b"".join([pieces.get(p) or self._piece(p) for p in self.split(chunk.lower())])
+        return b"".join(i.to_bytes(4, "little") for i in self.library.encode(chunk, add_special_tokens=False).ids)
+
+    def _look_up(self, known: dict[str, bytes], lists: list[list[str]], make: Callable[[str], bytes]) -> Iterator[bytes]:
+        if len(known) > REMEMBERED:
+            known.clear()
+        for text in set().union(*lists).difference(known):
+            known[text] = make(text)
+        for texts in lists:
+            yield b"".join(map(known.__getitem__, texts))
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """One byte string of ids for each text; null counts as empty."""
         for run in slices([t or "" for t in texts]):
-            chunks = [t.replace("\n", " ").split(" ") for t in run]
-            if len(self.known) > REMEMBERED_CHUNKS:
-                self.known = {"": b""}
-            if len(self.pieces) > REMEMBERED_PIECES:
-                self.pieces = {}
-            known = self.known
-            for chunk in set().union(*chunks).difference(known):
-                known[chunk] = self._chunk(chunk)
-            for words in chunks:
-                yield b"".join(map(known.__getitem__, words))
+            latin = [_is_latin(t) for t in run]
+            pieces = [self.split(t.lower()) for t, yes in zip(run, latin, strict=True) if yes]
+            chunks = [t.replace("\n", " ").split(" ") for t, yes in zip(run, latin, strict=True) if not yes]
+            of_latin = self._look_up(self.pieces, pieces, self._piece)
+            of_other = self._look_up(self.chunks, chunks, self._chunk)
+            for yes in latin:
+                yield next(of_latin if yes else of_other)
 
 
-_loaded: dict[str, WordIds] = {}
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 def word_ids(path: str) -> WordIds:
     """The encoder of a vocabulary file, loaded once in each Python worker."""
-    if path not in _loaded:
-        _loaded[path] = WordIds(path)
-    return _loaded[path]
+    return held_in_worker(path, lambda: WordIds(path))
