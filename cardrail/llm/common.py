@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,7 +17,19 @@ T = TypeVar("T")
 SLICE_CHARS = 1_000_000
 
 
+def found_by_workers(spark: SparkSession) -> None:
+    """Puts the folder of this package on the path of Python workers started from now on.
+
+    For a driver that runs elsewhere on the same machine; a cluster gets the package by ``--py-files``.
+    """
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    found_by_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
