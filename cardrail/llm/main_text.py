@@ -50,7 +50,9 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|data-label)\b(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s"'>]+))?""", re.I)
+#: Any attribute with its whole value, so that no name is found inside another name or a value.
+ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s"'>][^\s>]*))?""")
+WORDED = frozenset({"class", "id", "role", "itemprop"})
 WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: Elements that hold a page's content, and elements that are not part of the text around them.
@@ -92,9 +94,9 @@ def _marks(name: str, rest: str) -> tuple[tuple[str, ...], str | None]:
         kind, value = kind.lower(), value.strip("\"'")
         if kind == "data-label":
             label = value
-        elif kind == "hidden":
+        elif kind == "hidden" or (kind == "aria-hidden" and value.strip().lower() == "true"):
             found.append("hidden")
-        else:
+        elif kind in WORDED:
             found += [f"word:{w.lower()}" for w in WORD_PARTS.findall(value)]
     return tuple(found), label
 

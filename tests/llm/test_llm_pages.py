@@ -80,6 +80,25 @@ def test_given_pages(spark):
         assert found[row.page_id] == "\n\n".join(p for p in parts if p)
 
 
+TEXT = "some words of the article " * 20
+
+
+@pytest.mark.parametrize(
+    "attributes",
+    ['style="overflow:hidden"', 'aria-hidden="false"', 'href="/hidden/x"', "data-x=/hidden/", 'data-hidden="1"', 'title="a > b hidden"'],
+)
+def test_only_the_hidden_attribute_hides(weights, attributes):
+    for page in (f"<article {attributes}><p>{TEXT}</p></article>", f"<div {attributes}><article><p>{TEXT}</p></article></div>"):
+        assert main_text.main_text(page, weights) == TEXT.strip()
+    assert main_text.main_text(f"<div {attributes}><p>{TEXT}</p></div>", weights) == TEXT.strip()
+
+
+@pytest.mark.parametrize("attributes", ["hidden", 'class="a" HIDDEN=""', "hidden=until-found", "aria-hidden=true", 'aria-hidden = "True"'])
+def test_hidden_elements_are_no_content(weights, attributes):
+    page = f"<article><p>{TEXT}</p><div {attributes}><p>not shown</p></div><p>{TEXT}</p></article>"
+    assert main_text.main_text(page, weights) == f"{TEXT.strip()}\n\n{TEXT.strip()}"
+
+
 PAGES = [
     (1, "http://a/ b", "same"),
     (2, "http://b", "same"),
