@@ -101,8 +101,11 @@ def _marks(name: str, rest: str) -> tuple[tuple[str, ...], str | None]:
     return tuple(found), label
 
 
-def read(html: str | None) -> tuple[list[Block], list[int | str]]:
-    """The blocks of a page, and its sequence: a block's number for each of its words, and the name of each tag."""
+def read(html: str | None, labelled: bool = True) -> tuple[list[Block], list[int | str]]:
+    """The blocks of a page, and its sequence: a block's number for each of its words, and the name of each tag.
+
+    ``data-label`` is a label on the layouts only; a given page may use that attribute for anything.
+    """
     html = html or ""
     blocks: list[Block] = []
     sequence: list[int | str] = []
@@ -144,6 +147,7 @@ def read(html: str | None) -> tuple[list[Block], list[int | str]]:
                 at = end.end() if end else len(html)
             elif name not in VOID and not found["rest"].endswith("/"):
                 marks, label = _marks(name, found["rest"])
+                label = label if labelled else None
                 _, around, above = stack[-1]
                 if not around[-1].issuperset(marks):
                     around = (*around, around[-1].union(marks))
@@ -223,7 +227,7 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(html: str | None, weights: Weights) -> str:
-    blocks, sequence = read(html)
+    blocks, sequence = read(html, labelled=False)
     words = [weights.word(b) for b in blocks]
     scores = [words[s] if isinstance(s, int) else weights.tags.get(s, weights.other) for s in sequence]
     start, end = best_run(scores)
@@ -233,7 +237,7 @@ def main_text(html: str | None, weights: Weights) -> str:
 
 def self_labelled(html: str | None) -> tuple[list[Block], list[int | str]] | None:
     """A page that names its article, with the blocks in it labelled as content, unless an element in it says other."""
-    blocks, sequence = read(html)
+    blocks, sequence = read(html, labelled=False)
     if not any(b.features & CONTENT for b in blocks):
         return None
     for block in blocks:

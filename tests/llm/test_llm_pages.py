@@ -99,6 +99,15 @@ def test_hidden_elements_are_no_content(weights, attributes):
     assert main_text.main_text(page, weights) == f"{TEXT.strip()}\n\n{TEXT.strip()}"
 
 
+@pytest.mark.parametrize("label", ["Amount", "", "0", "1"])
+def test_labels_of_given_pages_are_ignored(spark, weights, label):
+    page = f'<nav data-label="{label}">to other pages</nav><article><p>{TEXT}</p><div data-label="{label}">{TEXT}</div></article>'
+    assert main_text.main_text(page, weights) == f"{TEXT.strip()}\n\n{TEXT.strip()}"
+    assert [b.label for b in main_text.self_labelled(page)[0]] == [0, 1, 1]
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    assert main_text.extract(pages, main_text.learn(pages)).first().text == f"{TEXT.strip()}\n\n{TEXT.strip()}"
+
+
 PAGES = [
     (1, "http://a/ b", "same"),
     (2, "http://b", "same"),
