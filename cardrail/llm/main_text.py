@@ -17,7 +17,8 @@ The text: character references decoded, white space inside a block turned into o
 an empty line. A ``br`` is white space.
 
 Defined results: a null html counts as empty; a page without a run of positive score gives an empty text; markup that
-is cut off or never closed ends with the page; rows come out as often as they come in, also with a null or repeated
+is cut off ends with the page, an element that is never closed with the one around it; a control, a drawing or the like
+that is never closed takes out its own words, up to the next paragraph, heading or such; rows come out as often as they come in, also with a null or repeated
 ``page_id``; other columns are left out.
 """
 
@@ -37,7 +38,11 @@ from cardrail.llm import labelled_pages
 from cardrail.llm.common import bounded_sample, small
 
 #: Element names of HTML, by what they mean for a text.
-RAW = frozenset("script style noscript template textarea title iframe svg math object select button option".split())
+RAW = frozenset("script style textarea title iframe".split())
+SKIPPED = frozenset("noscript template svg math object select button option".split())
+FOREIGN = frozenset({"svg", "math"})
+#: What an element of SKIPPED that is never closed does not hold.
+BREAKS = frozenset("article main section p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q s samp small span strike "
@@ -86,6 +91,18 @@ class Block:
         return f"links:{math.ceil(4 * share)}", f"length:{min(6, n.bit_length())}"
 
 
+@dataclass
+class Element:
+    """An open element: the features around what stands in it, its label, whether its words are left out, and how many
+    blocks and items of the sequence came before it."""
+
+    name: str
+    around: tuple[frozenset[str], ...]
+    label: str | None = None
+    skipped: bool = False
+    before: tuple[int, int] = (0, 0)
+
+
 @lru_cache(10_000)
 def _marks(name: str, rest: str) -> tuple[tuple[str, ...], str | None]:
     """The features an element gives to what stands in it, and its label if it has one."""
@@ -109,18 +126,19 @@ def read(html: str | None, labelled: bool = True) -> tuple[list[Block], list[int
     html = html or ""
     blocks: list[Block] = []
     sequence: list[int | str] = []
-    # an open element: its name, the features around what stands in it, and the label of that
-    stack: list[tuple[str, tuple[frozenset[str], ...], str | None]] = [("", (frozenset(),), None)]
+    stack = [Element("", (frozenset(),))]
     links, at, fresh = 0, 0, True
     while found := TOKEN.match(html, at):
         at = found.end()
         name = (found["name"] or "").lower()
         if found["text"] is not None:
+            if stack[-1].skipped:
+                continue
             text = references.unescape(found["text"])
             words = text.split()
             if fresh and words:
-                _, around, label = stack[-1]
-                blocks.append(Block(around, label=None if label is None else int(label)))
+                label = stack[-1].label
+                blocks.append(Block(stack[-1].around, label=None if label is None else int(label)))
                 fresh = False
             if not fresh:
                 block = blocks[-1]
@@ -131,27 +149,35 @@ def read(html: str | None, labelled: bool = True) -> tuple[list[Block], list[int
                 sequence += [len(blocks) - 1] * len(words)
                 block.open = bool(text) and not text[-1].isspace() and (bool(words) or block.open)
         elif name:
-            sequence.append(name)
+            if name in ("option", "button") and name == stack[-1].name and not found["close"]:
+                stack.pop()  # one of these ends the one before it
+            if not stack[-1].skipped:
+                sequence.append(name)
             if name not in INLINE:
                 fresh = True
             elif name == "br" and not fresh:
                 blocks[-1].open = False
             if found["close"]:
                 for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] == name:
-                        links -= sum(s[0] == "a" for s in stack[depth:])
+                    if stack[depth].name == name:
+                        links -= sum(e.name == "a" for e in stack[depth:])
+                        if name in SKIPPED:
+                            del blocks[stack[depth].before[0] :], sequence[stack[depth].before[1] :]
                         del stack[depth:]
                         break
-            elif name in RAW:
+            elif name in RAW and not any(e.name in FOREIGN for e in stack):
                 end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(html, at)
                 at = end.end() if end else len(html)
             elif name not in VOID and not found["rest"].endswith("/"):
                 marks, label = _marks(name, found["rest"])
                 label = label if labelled else None
-                _, around, above = stack[-1]
+                above = stack[-1]
+                around = above.around
                 if not around[-1].issuperset(marks):
                     around = (*around, around[-1].union(marks))
-                stack.append((name, around, above if label is None else label))
+                skipped = name in SKIPPED or (above.skipped and name not in BREAKS)
+                label = above.label if label is None else label
+                stack.append(Element(name, around, label, skipped, (len(blocks), len(sequence))))
                 links += name == "a"
     return blocks, sequence
 

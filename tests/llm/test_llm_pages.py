@@ -108,6 +108,23 @@ def test_labels_of_given_pages_are_ignored(spark, weights, label):
     assert main_text.extract(pages, main_text.learn(pages)).first().text == f"{TEXT.strip()}\n\n{TEXT.strip()}"
 
 
+@pytest.mark.parametrize(
+    "part",
+    ["<svg class='i' />", "<math/>", "<svg><title/><style/><path d='M0'/></svg>", "<svg><path d='M0'/>", "<button>Share it", "<option>one",
+     "<object data='x'>", "<div><button>Share <b>it</b></div>", "<select><option>one<option>two</select>", "<button>a<button>b</button>",
+     "<object><object>a</object><p>b</p></object>", "<template><article><p>not shown</p></article></template>",
+     "<svg><a><text>c</text></a></svg>", "<noscript><p>d</p></noscript>", "<script>'<p>e'</script>", "<textarea><p>f</textarea>"],
+)
+def test_only_the_words_of_skipped_elements_are_lost(weights, part):
+    whole = f"{TEXT.strip()}\n\n{TEXT.strip()}"
+    for page in (
+        f"<article><p>{TEXT}</p>{part}<p>{TEXT}</p></article>",
+        f"<body>{part}<article><p>{TEXT}</p><p>{TEXT}</p></article></body>",
+        f"<body><div class='post-content'><p>{TEXT}</p>{part}<p>{TEXT}</p></div></body>",
+    ):
+        assert main_text.main_text(page, weights) == whole, page
+
+
 PAGES = [
     (1, "http://a/ b", "same"),
     (2, "http://b", "same"),
