@@ -72,7 +72,7 @@ def retained(texts: list[str], s: Settings) -> tuple[np.ndarray, ...]:
     window = np.flatnonzero(fits)
     if not len(window):
         none = np.zeros(0, int)
-        return none, none.astype("u8"), none, none, none, none, none, none.astype("u4")
+        return none, none.astype("u8"), none, none, none, none, none, none.astype("u8")
     grams, span = runs(joined, s.k), s.length - s.k + 1
     views = np.lib.stride_tricks.sliding_window_view(grams, span)
     at = np.concatenate([w + views[w].argmin(axis=1) for w in np.array_split(window, 1 + len(window) // 20_000)])
@@ -94,7 +94,7 @@ def retained(texts: list[str], s: Settings) -> tuple[np.ndarray, ...]:
     some = np.flatnonzero(head)
     times = np.diff(np.r_[some, len(head)])
     apart = np.where(times > 1, gap[np.minimum(some + 1, len(gap) - 1)], 0)
-    hashes = (whole >> np.uint64(32)).astype("u4")[np.repeat(head, count)]
+    hashes = whole[np.repeat(head, count)]
     number, place = number[some], place[some]
     return number, grams[place], place - starts[number], left[some], times, apart, count[some], hashes
 
@@ -114,7 +114,7 @@ def suffixes(docs: DataFrame, s: Settings, whole: bool) -> DataFrame:
                 at = place << 32 | left << 24 | tags[a + number]
                 columns = [pa.array(key.view("i8")), pa.array(doc_ids[a + number])]
                 if whole:
-                    edges = pa.array(4 * np.r_[0, np.cumsum(count)], pa.int32())
+                    edges = pa.array(8 * np.r_[0, np.cumsum(count)], pa.int32())
                     ends = pa.Array.from_buffers(pa.binary(), len(count), [None, edges.buffers()[1], pa.py_buffer(hashes)])
                     columns += [pa.array(at), pa.array(times << 8 | apart), ends]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "at", "again", "ends"][: len(columns)])
@@ -172,9 +172,9 @@ def _match(batches):
         ends = table.column("ends").combine_chunks()
         ends = ends.chunk(0) if isinstance(ends, pa.ChunkedArray) else ends
         raw, edges = ends.buffers()[2], np.frombuffer(ends.buffers()[1], "i4")[ends.offset : ends.offset + len(ends) + 1]
-        hashes = np.frombuffer(raw, "u1")[edges[0] : edges[-1]].copy().view("u4")
+        hashes = np.frombuffer(raw, "u1")[edges[0] : edges[-1]].copy().view("u8")
         doc_id, left = table.column("doc_id").to_numpy(), at >> 24 & 0xFF
-        row, step, hit, low = neighbours(table.column("key").to_numpy(), doc_id, left, np.diff(edges) // 4, hashes)
+        row, step, hit, low = neighbours(table.column("key").to_numpy(), doc_id, left, np.diff(edges) // 8, hashes)
         row, step, low = row[hit], step[hit], low[hit]
         if not len(row):
             continue
@@ -197,9 +197,9 @@ def _match_apart(rows: DataFrame) -> DataFrame:
     rows = rows.select("key", "doc_id", "at", "again", "ends", left.alias("left"))
     one = ["key", "left", "ends"]
     alike = rows.groupBy(*one).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    steps = F.sequence(F.lit(0), (F.octet_length("ends") / 4).cast("int") - 1)
+    steps = F.sequence(F.lit(0), (F.octet_length("ends") / 8).cast("int") - 1)
     spread = alike.select("*", F.explode(steps).alias("step"))
-    reach, end = (F.col("left") - F.col("step")).alias("reach"), F.substring("ends", 4 * F.col("step") + 1, F.lit(4)).alias("end")
+    reach, end = (F.col("left") - F.col("step")).alias("reach"), F.substring("ends", 8 * F.col("step") + 1, F.lit(8)).alias("end")
     spread = spread.select(*one, "low", "high", "step", reach, end)
     found = spread.groupBy("key", "reach", "end").agg(F.min("low").alias("first_doc_id"), F.max("high").alias("last"))
     found = found.filter("first_doc_id < last").drop("last")

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from cardrail.llm import near_copies, passages
+from cardrail.llm import near_copies, ngrams, passages
 from cardrail.llm.components import components
 
 SCHEMA = "doc_id long, text string, digest string, class_id int, bands string, cuts int, n_chars long, text_tag int"
@@ -175,6 +175,19 @@ def test_passages_equal_brute_force(spark, rows, together):
     assert sorted(map(tuple, found)) == brute_repeats(rows, 50)
 
 
+@pytest.mark.parametrize("together", [10_000, 1])
+def test_unequal_windows_with_half_a_hash_in_common_are_no_repeat(spark, together):
+    same = " ".join(f"same{i}" for i in range(49))
+    texts = [f"{same} end{i}" for i in (78711, 125203)]
+    high = [int(ngrams.runs(ngrams.Words().hashes(t), 50)[0]) >> 32 for t in texts]
+    assert high[0] == high[1]
+    docs = frame(spark, [*enumerate(texts), (2, texts[1])])
+    found = passages.repeats(docs, passages.Settings(together=together)).collect()
+    assert sorted((r.doc_id, r.n_words, r.first_doc_id) for r in found) == [(1, 50, 1), (2, 50, 1)]
+    kept = {r.doc_id: r.text for r in passages.drop_repeats(docs, passages.Settings(together=together)).collect()}
+    assert kept == {0: texts[0], 1: texts[1], 2: ""}
+
+
 def test_repeats_are_taken_out(spark, rows):
     docs = frame(spark, rows)
     found = passages.drop_repeats(docs)
