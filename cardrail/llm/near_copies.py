@@ -316,6 +316,12 @@ def classes(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     )
 
 
+def worded(text: str = "text") -> Column:
+    """Whether a text has words, as ``signatures`` counts them: by all that ``str.split`` takes for white space."""
+    blank = "".join(rf"\u{i:04x}" for i in range(0x10000) if chr(i).isspace())
+    return F.coalesce(F.col(text).rlike(f"[^{blank}]"), F.lit(False))
+
+
 def one_of_each(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay: of each class the row of the smallest id.
 
@@ -325,8 +331,7 @@ def one_of_each(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     name, named, key, again = fresh(docs, "digest", "class_id", "class_first", "again")
     firsts = texts.filter("digest = first").select(F.col("digest").alias(key), F.col("class_id").alias(named))
     rows = docs.withColumn(name, digest())
-    worded = F.coalesce(F.length(F.trim(F.regexp_replace("text", r"\s+", " "))), F.lit(0)) > 0
     same = (F.col(name) == F.col(key)) & F.col("doc_id").cast("long").eqNullSafe(F.col(named))
     order = Window.partitionBy(name, named).orderBy(*(c for c in docs.columns if c != "text"))
     kept = rows.join(firsts, same).withColumn(again, F.row_number().over(order)).filter(F.col(again) == 1)
-    return kept.select(*docs.columns).unionByName(docs.filter(~worded))
+    return kept.select(*docs.columns).unionByName(docs.filter(~worded()))

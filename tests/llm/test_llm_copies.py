@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -102,6 +103,14 @@ def test_one_of_each_class_stays(spark, rows):
     assert sorted(i for i in named if i is not None) == sorted([*worded, 6])
 
 
+def test_blank_rows_of_any_white_space_stay(spark):
+    blanks = [chr(i) for i in range(sys.maxunicode + 1) if chr(i).isspace()]
+    texts = [*blanks, "".join(blanks), "\u00a0", "", None, "\u200b", "\u200b", "\U0001f600", "\u00a0a"]
+    docs = frame(spark, list(enumerate(texts)))
+    again = texts.index("\u200b") + 1  # not white space, so a word, and this its copy
+    assert sorted(r.doc_id for r in near_copies.one_of_each(docs).collect()) == [i for i in range(len(texts)) if i != again]
+
+
 def test_empty_table(spark, rows):
     empty = frame(spark, rows).limit(0)
     assert near_copies.classes(empty).count() == near_copies.one_of_each(empty).count() == 0
