@@ -33,8 +33,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from cardrail.llm.common import fresh, slices, small, written
 from cardrail.llm.ngrams import mix, runs, words_in_worker
 
-SUFFIX_SCHEMA = "key long, doc_id long, at long, again long, ends binary"
-HIT_SCHEMA = "doc_id long, tag int, first_window int, last_window int, first_doc_id long"
+SUFFIX_SCHEMA = "key long, doc_id long, tag long, at long, again long, ends binary"
+HIT_SCHEMA = "doc_id long, tag long, first_window int, last_window int, first_doc_id long"
 
 #: Suffixes compared at a time by a task.
 CHUNK = 100_000
@@ -53,8 +53,8 @@ class Settings:
 
 
 def text_tag(text: str = "text") -> Column:
-    """24 bits that tell the texts of rows with the same id apart."""
-    return (F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit((1 << 24) - 1))).cast("int")
+    """64 bits that tell the texts of rows with the same id apart."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
 def retained(texts: list[str], s: Settings) -> tuple[np.ndarray, ...]:
@@ -100,24 +100,24 @@ def retained(texts: list[str], s: Settings) -> tuple[np.ndarray, ...]:
 
 
 def suffixes(docs: DataFrame, s: Settings, whole: bool) -> DataFrame:
-    """``key`` and ``doc_id`` of every retained suffix; if ``whole`` also ``at`` (place, reach to the left, tag of the
-    text), ``again`` (how many, how far apart) and ``ends`` (its windows' hashes). A narrow pass."""
+    """``key`` and ``doc_id`` of every retained suffix; if ``whole`` also ``tag`` (of the text), ``at`` (place, reach
+    to the left), ``again`` (how many, how far apart) and ``ends`` (its windows' hashes). A narrow pass."""
 
     def run(batches):
         import pyarrow as pa
 
         for batch in small(batches):
-            doc_ids, tags = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy().astype("i8")
+            doc_ids, tags = batch.column("doc_id").to_numpy(), batch.column("tag").to_numpy()
             a = 0
             for texts in slices(batch.column("text").to_pylist()):
                 number, key, place, left, times, apart, count, hashes = retained(texts, s)
-                at = place << 32 | left << 24 | tags[a + number]
+                at = place << 8 | left
                 columns = [pa.array(key.view("i8")), pa.array(doc_ids[a + number])]
                 if whole:
                     edges = pa.array(8 * np.r_[0, np.cumsum(count)], pa.int32())
                     ends = pa.Array.from_buffers(pa.binary(), len(count), [None, edges.buffers()[1], pa.py_buffer(hashes)])
-                    columns += [pa.array(at), pa.array(times << 8 | apart), ends]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "at", "again", "ends"][: len(columns)])
+                    columns += [pa.array(tags[a + number]), pa.array(at), pa.array(times << 8 | apart), ends]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "tag", "at", "again", "ends"][: len(columns)])
                 a += len(texts)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tag().alias("tag"), "text")
@@ -173,7 +173,7 @@ def _match(batches):
         ends = ends.chunk(0) if isinstance(ends, pa.ChunkedArray) else ends
         raw, edges = ends.buffers()[2], np.frombuffer(ends.buffers()[1], "i4")[ends.offset : ends.offset + len(ends) + 1]
         hashes = np.frombuffer(raw, "u1")[edges[0] : edges[-1]].copy().view("u8")
-        doc_id, left = table.column("doc_id").to_numpy(), at >> 24 & 0xFF
+        doc_id, left = table.column("doc_id").to_numpy(), at & 0xFF
         row, step, hit, low = neighbours(table.column("key").to_numpy(), doc_id, left, np.diff(edges) // 8, hashes)
         row, step, low = row[hit], step[hit], low[hit]
         if not len(row):
@@ -181,20 +181,20 @@ def _match(batches):
         new = np.r_[True, (row[1:] != row[:-1]) | (step[1:] != step[:-1] + 1) | (low[1:] != low[:-1])]
         a = np.flatnonzero(new)
         b = np.r_[a[1:], len(row)] - 1
-        base = ((at >> 32) - left)[row[a]]
+        base = ((at >> 8) - left)[row[a]]
         again = table.column("again").to_numpy()[row[a]]
         # windows nearer than their length cover all words from the first to the last
         far = ((again >> 8) - 1) * (again & 0xFF)
-        columns = [doc_id[row[a]], at[row[a]] & 0xFFFFFF, base + step[a], base + step[b] + far, low[a]]
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+        columns = [doc_id[row[a]], table.column("tag").to_numpy()[row[a]], base + step[a], base + step[b] + far, low[a]]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
         names = [f.split()[0] for f in HIT_SCHEMA.split(", ")]
         yield pa.RecordBatch.from_arrays([pa.array(c).cast(k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def _match_apart(rows: DataFrame) -> DataFrame:
     """The same for keys of any number of suffixes: equal ones are added up, then each extension meets its equals."""
-    left = F.shiftright("at", 24).bitwiseAND(F.lit(0xFF)).cast("int")
-    rows = rows.select("key", "doc_id", "at", "again", "ends", left.alias("left"))
+    left = F.col("at").bitwiseAND(F.lit(0xFF)).cast("int")
+    rows = rows.select("key", "doc_id", "tag", "at", "again", "ends", left.alias("left"))
     one = ["key", "left", "ends"]
     alike = rows.groupBy(*one).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     steps = F.sequence(F.lit(0), (F.octet_length("ends") / 8).cast("int") - 1)
@@ -205,12 +205,11 @@ def _match_apart(rows: DataFrame) -> DataFrame:
     found = found.filter("first_doc_id < last").drop("last")
     hits = F.collect_list(F.struct("step", "first_doc_id")).alias("hits")
     back = spread.join(found, ["key", "reach", "end"]).groupBy(*one).agg(hits)
-    rows = rows.join(back, one).select("doc_id", "at", "again", "left", F.explode("hits").alias("hit"))
-    window = (F.shiftright("at", 32) - F.col("left") + F.col("hit.step")).cast("int")
-    tag = F.col("at").bitwiseAND(F.lit(0xFFFFFF)).cast("int").alias("tag")
+    rows = rows.join(back, one).select("doc_id", "tag", "at", "again", "left", F.explode("hits").alias("hit"))
+    window = (F.shiftright("at", 8) - F.col("left") + F.col("hit.step")).cast("int")
     far = ((F.shiftright("again", 8) - 1) * F.col("again").bitwiseAND(F.lit(0xFF))).cast("int")
     last = (window + far).alias("last_window")
-    return rows.select("doc_id", tag, window.alias("first_window"), last, "hit.first_doc_id")
+    return rows.select("doc_id", "tag", window.alias("first_window"), last, "hit.first_doc_id")
 
 
 def repeats(docs: DataFrame, s: Settings | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cardrail.llm import near_copies, ngrams, passages
 from cardrail.llm.components import components
@@ -197,6 +198,16 @@ def test_unequal_windows_with_half_a_hash_in_common_are_no_repeat(spark, togethe
     assert kept == {0: texts[0], 1: texts[1], 2: ""}
 
 
+@pytest.mark.parametrize("together", [10_000, 1])
+def test_texts_of_one_id_with_a_part_of_a_hash_in_common_are_cut_apart(spark, together):
+    same = " ".join(f"same{i}" for i in range(60))
+    docs = frame(spark, [(1, same), (7, f"{same} end945"), (7, "short7805"), (7, f"{same} end1923"), (7, "short2910")])
+    low = docs.select(F.xxhash64("text").bitwiseAND(F.lit((1 << 24) - 1)).alias("low")).filter("low in (16211652, 16718397)")
+    assert low.count() == 4
+    kept = passages.drop_repeats(docs, passages.Settings(together=together)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, same), (7, "end1923"), (7, "end945"), (7, "short2910"), (7, "short7805")]
+
+
 def test_repeats_are_taken_out(spark, rows):
     docs = frame(spark, rows)
     found = passages.drop_repeats(docs)
