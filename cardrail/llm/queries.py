@@ -5,11 +5,26 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cardrail.llm import byte_bpe, cover_tree, hnsw, main_text, near_copies, packing, passages, quality, token_files, warc
+from cardrail.llm import (
+    alignment,
+    byte_bpe,
+    cover_tree,
+    hnsw,
+    lexicon,
+    main_text,
+    near_copies,
+    packing,
+    passages,
+    quality,
+    token_files,
+    warc,
+)
 from cardrail.llm.common import table
 from cardrail.session import scratch_path
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -71,9 +86,31 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
-QUERIES = {
-    f.__name__: f
-    for f in (op1_hnsw, op2_passages, op3_ngram_join, op4_byte_bpe, op5_main_text, op6_quality, op7_token_files, op8_top_products, op9_packing, op10_warc)
-}
+def op12_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded to byte-level BPE ids through a lexicon of frequent words, and decoded again."""
+    return lexicon.encode_and_decode(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's tokens by two vocabularies, aligned where both end, with how often linked ids meet."""
+    return alignment.align(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+
+
+OPERATORS = (
+    op1_hnsw,
+    op2_passages,
+    op3_ngram_join,
+    op4_byte_bpe,
+    op5_main_text,
+    op6_quality,
+    op7_token_files,
+    op8_top_products,
+    op9_packing,
+    op10_warc,
+    op12_lexicon,
+    op13_alignment,
+)
+
+QUERIES = {f.__name__: f for f in OPERATORS}
 
 ORACLE_SQL: dict[str, str] = {}
