@@ -15,6 +15,7 @@ from cardrail.llm import (
     near_copies,
     packing,
     passages,
+    phrases,
     quality,
     token_files,
     warc,
@@ -86,6 +87,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of two to five words of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded to byte-level BPE ids through a lexicon of frequent words, and decoded again."""
     return lexicon.encode_and_decode(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
@@ -107,6 +113,7 @@ OPERATORS = (
     op8_top_products,
     op9_packing,
     op10_warc,
+    op11_phrases,
     op12_lexicon,
     op13_alignment,
 )
