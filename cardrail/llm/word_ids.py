@@ -32,7 +32,8 @@ class WordIds:
     For a file that puts texts into NFC and lower case, splits them by a pattern and drops white space. A text in Latin-1
     is in NFC already; it is lowered and split here, and the library's model encodes each of its pieces. Of any other
     text, no token crosses a blank or a line break, and each chunk in between goes through the whole library. Pieces and
-    chunks are encoded once and then looked up.
+    chunks are encoded once and then looked up. A text that holds an added token, in any case, goes through the library
+    as a whole, which makes it that token's id.
     """
 
     def __init__(self, path: str):
@@ -40,7 +41,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.model = self.library.model
         with open(path, "rb") as file:
             rules = json.load(file)
@@ -48,6 +48,7 @@ class WordIds:
         split, as_bytes = rules["pre_tokenizer"]["pretokenizers"]
         if kinds != ["NFC", "Replace", "Lowercase"] or split["behavior"] != "Removed" or as_bytes["use_regex"]:
             raise ValueError(f"{path}: another normaliser or splitter than this class is for")
+        self.added = [t["content"].lower() for t in rules["added_tokens"]]
         self.split = latin_splitter(split["pattern"]["Regex"])
         self.to_characters = dict(enumerate(byte_characters()))
         self.pieces: dict[str, bytes] = {}
@@ -71,13 +72,23 @@ class WordIds:
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """One byte string of ids for each text; null counts as empty."""
         for run in slices([t or "" for t in texts]):
-            latin = [_is_latin(t) for t in run]
-            pieces = [self.split(t.lower()) for t, yes in zip(run, latin, strict=True) if yes]
-            chunks = [t.replace("\n", " ").split(" ") for t, yes in zip(run, latin, strict=True) if not yes]
-            of_latin = self._look_up(self.pieces, pieces, self._piece)
-            of_other = self._look_up(self.chunks, chunks, self._chunk)
-            for yes in latin:
-                yield next(of_latin if yes else of_other)
+            kinds = list(map(self._kind, run))
+            by_kind = {k: [t for t, kind in zip(run, kinds, strict=True) if kind == k] for k in ("latin", "other", "added")}
+            pieces = [self.split(t.lower()) for t in by_kind["latin"]]
+            chunks = [t.replace("\n", " ").split(" ") for t in by_kind["other"]]
+            found = {
+                "latin": self._look_up(self.pieces, pieces, self._piece),
+                "other": self._look_up(self.chunks, chunks, self._chunk),
+                "added": map(self._chunk, by_kind["added"]),
+            }
+            for kind in kinds:
+                yield next(found[kind])
+
+    def _kind(self, text: str) -> str:
+        lowered = text.lower()
+        if any(t in lowered for t in self.added):
+            return "added"
+        return "latin" if _is_latin(text) else "other"
 
 
 def _is_latin(text: str) -> bool:

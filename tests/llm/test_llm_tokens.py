@@ -23,6 +23,7 @@ TEXTS = [
     "İstanbul ΑΣ Ü é é \U0001f600 日本語 ﬁ ㎏",
     "a\x01b\x1c!\x1c! c d",
     "<|endoftext|> and <|startoftext|>",
+    "a <|endoftext|> b, 日本<|startoftext|> <|ENDOFTEXT|>",
     "'ll don't '",
     "Hello world, it's fine. 123",
     LONG,
@@ -78,7 +79,6 @@ def word_ids(text):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(WORD_VOCABULARY)
-    library.encode_special_tokens = True
     return library.encode(text or "", add_special_tokens=False).ids
 
 
@@ -116,7 +116,6 @@ def test_token_files_are_pruned_by_id(spark, docs, tmp_path):
 
     files = glob.glob(f"{path.removeprefix('file:')}/*.orc")
     assert files and all(orc.ORCFile(f).compression.upper() == "ZSTD" for f in files)
-    assert any(b"doc_id" in open(f, "rb").read() for f in files) or files
 
 
 def test_token_files_empty_table(spark, docs):
