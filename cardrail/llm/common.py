@@ -7,7 +7,9 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardrail.session import scratch_path
 
@@ -43,6 +45,44 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables that ``written`` stored, once what reads them is stored itself."""
+    for df in frames:
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class Marked:
+    """A filter of keys in a fixed 16 MB: it never misses a key it was made of, and may pass others."""
+
+    BITS = 1 << 27
+
+    def __init__(self, keys: DataFrame, key: str):
+        """``keys.key`` are 64-bit hashes. Words of 64 bits come to the driver, at most ``BITS / 64`` of them."""
+        spark, place = keys.sparkSession, F.pmod(F.col(key), F.lit(self.BITS))
+        bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+        words = keys.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+        rows = words.toArrow()
+        held = np.zeros(self.BITS // 64, "i8")
+        held[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+        self.held = spark.sparkContext.broadcast(held.view("u8"))
+        self.empty = not rows.num_rows
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        place = keys.view("i8") % self.BITS
+        return (self.held.value[place >> 6] >> (place & 63).astype("u8")) & np.uint64(1) == 1
+
+    def column(self, key: Column) -> Column:
+        """Whether a column of 64-bit hashes may be among the keys."""
+
+        @F.pandas_udf("boolean")
+        def found(keys: pd.Series) -> pd.Series:
+            return pd.Series(self.has(keys.to_numpy("i8")))
+
+        return found(key)
+
+
 def bounded_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:
     """At most ``rows`` rows, those of smallest hash of ``key``.
 

@@ -6,7 +6,8 @@ at minimisers are retained. A retained suffix carries a hash for each window tha
 extended ``l`` words to the left and ``length - l`` to the right, for every ``l`` it is answerable for. In a text that repeats with a period, like ones follow at equal distances; they are one row that says how
 many and how far apart they are.
 
-1. The first words of the retained suffixes are counted. Suffixes that no other document starts with go no further.
+1. The first words of the retained suffixes are counted. Those that two documents have, and those that very many suffixes
+   have, are marked in filters of a fixed size; suffixes without a mark go no further, and are never shuffled.
 2. The others meet by their first words and are sorted in each extension; equal neighbours are occurrences of one
    window. First words that very many suffixes share are not brought together: equal suffixes are added up first, and
    their extensions meet one by one.
@@ -30,10 +31,10 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cardrail.llm.common import fresh, slices, small, written
+from cardrail.llm.common import Marked, discard, fresh, slices, small, written
 from cardrail.llm.ngrams import mix, runs, words_in_worker
 
-SUFFIX_SCHEMA = "key long, doc_id long, tag long, at long, again long, ends binary"
+SUFFIX_SCHEMA = "key long, apart boolean, doc_id long, tag long, at long, again long, ends binary"
 HIT_SCHEMA = "doc_id long, tag long, first_window int, last_window int, first_doc_id long"
 
 #: Suffixes compared at a time by a task.
@@ -99,9 +100,10 @@ def retained(texts: list[str], s: Settings) -> tuple[np.ndarray, ...]:
     return number, grams[place], place - starts[number], left[some], times, apart, count[some], hashes
 
 
-def suffixes(docs: DataFrame, s: Settings, whole: bool) -> DataFrame:
-    """``key`` and ``doc_id`` of every retained suffix; if ``whole`` also ``tag`` (of the text), ``at`` (place, reach
-    to the left), ``again`` (how many, how far apart) and ``ends`` (its windows' hashes). A narrow pass."""
+def suffixes(docs: DataFrame, s: Settings, shared: Marked | None = None, many: Marked | None = None) -> DataFrame:
+    """``key`` and ``doc_id`` of every retained suffix. With ``shared``, of those whose key it has; also ``apart`` (whether
+    ``many`` has the key), ``tag`` (of the text), ``at`` (place, reach to the left), ``again`` (how many, how far apart) and
+    ``ends`` (its windows' hashes). A narrow pass."""
 
     def run(batches):
         import pyarrow as pa
@@ -111,18 +113,23 @@ def suffixes(docs: DataFrame, s: Settings, whole: bool) -> DataFrame:
             a = 0
             for texts in slices(batch.column("text").to_pylist()):
                 number, key, place, left, times, apart, count, hashes = retained(texts, s)
-                at = place << 8 | left
-                columns = [pa.array(key.view("i8")), pa.array(doc_ids[a + number])]
-                if whole:
+                if not shared:
+                    columns, names = [pa.array(key.view("i8")), pa.array(doc_ids[a + number])], ["key", "doc_id"]
+                else:
+                    kept = shared.has(key)
+                    hashes = hashes[np.repeat(kept, count)]
+                    number, key, place, left, times, apart, count = (x[kept] for x in (number, key, place, left, times, apart, count))
                     edges = pa.array(8 * np.r_[0, np.cumsum(count)], pa.int32())
                     ends = pa.Array.from_buffers(pa.binary(), len(count), [None, edges.buffers()[1], pa.py_buffer(hashes)])
-                    columns += [pa.array(tags[a + number]), pa.array(at), pa.array(times << 8 | apart), ends]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "tag", "at", "again", "ends"][: len(columns)])
+                    own = [doc_ids[a + number], tags[a + number], place << 8 | left, times << 8 | apart]
+                    columns = [pa.array(x) for x in (key.view("i8"), many.has(key), *own)] + [ends]
+                    names = ["key", "apart", "doc_id", "tag", "at", "again", "ends"]
+                yield pa.RecordBatch.from_arrays(columns, names)
                 a += len(texts)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_tag().alias("tag"), "text")
     rows = rows.filter("doc_id is not null and text is not null")
-    return rows.mapInArrow(run, SUFFIX_SCHEMA if whole else "key long, doc_id long")
+    return rows.mapInArrow(run, SUFFIX_SCHEMA if shared else "key long, doc_id long")
 
 
 def neighbours(key: np.ndarray, doc_id: np.ndarray, left: np.ndarray, count: np.ndarray, hashes: np.ndarray):
@@ -220,14 +227,17 @@ def repeats(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     here first and others are joined apart.
     """
     s = s or Settings()
-    keys = suffixes(docs, s, whole=False).groupBy("key")
+    keys = suffixes(docs, s).groupBy("key")
     keys = keys.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
     keys = written(keys.filter("low < high").select("key", "n"), "suffix-keys")
-    shared = written(suffixes(docs, s, whole=True).join(keys, "key"), "suffixes")
-    few = shared.filter(F.col("n") <= s.together).drop("n")
-    hits = few.repartition("key").sortWithinPartitions("key").mapInArrow(_match, HIT_SCHEMA)
-    if not keys.filter(F.col("n") > s.together).isEmpty():
-        hits = hits.unionByName(_match_apart(shared.filter(F.col("n") > s.together)))
+    # a key that is marked by chance only costs its suffixes' way: it has no equal windows in two documents
+    found = suffixes(docs, s, Marked(keys, "key"), many := Marked(keys.filter(F.col("n") > s.together), "key"))
+    discard(keys)
+    if not many.empty:
+        found = written(found, "suffixes")
+    hits = found.filter("not apart").drop("apart").repartition("key").sortWithinPartitions("key").mapInArrow(_match, HIT_SCHEMA)
+    if not many.empty:
+        hits = hits.unionByName(_match_apart(found.filter("apart")))
     hits = hits.withColumn("kept", F.col("first_doc_id") == F.col("doc_id"))
     one = Window.partitionBy("doc_id", "tag", "kept").orderBy("first_window")
     until = F.max("last_window").over(one.rowsBetween(Window.unboundedPreceding, -1))
@@ -259,9 +269,13 @@ def drop_repeats(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     """``docs`` with every repeated passage taken out of all documents but the one of smallest id; no row is dropped."""
     tag, doc_id, own, cuts = fresh(docs, "text_tag", "cut_doc_id", "cut_tag", "cuts")
     spans = repeats(docs, s).filter("not kept").groupBy(F.col("doc_id").alias(doc_id), F.col("tag").alias(own))
-    spans = spans.agg(F.collect_list(F.struct("start", "n_words")).alias(cuts))
+    spans = written(spans.agg(F.collect_list(F.struct("start", "n_words")).alias(cuts)), "cuts")
+    # rows without a cut stay where they are
+    some = Marked(spans.select(F.xxhash64(doc_id, own).alias("key")), "key")
     rows = docs.withColumn(tag, text_tag())
-    joined = rows.join(spans, (F.col("doc_id").cast("long") == F.col(doc_id)) & (F.col(tag) == F.col(own)), "left")
+    may = some.column(F.xxhash64(F.col("doc_id").cast("long"), tag))
+    same = (F.col("doc_id").cast("long") == F.col(doc_id)) & (F.col(tag) == F.col(own))
+    joined = rows.filter(may).join(spans, same, "left")
     fields = docs.schema.names
 
     def run(batches):
@@ -279,4 +293,4 @@ def drop_repeats(docs: DataFrame, s: Settings | None = None) -> DataFrame:
                 columns["n_chars"] = pa.array(sizes, pa.int64()).cast(columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=fields)
 
-    return joined.select(*fields, cuts).mapInArrow(run, docs.schema)
+    return joined.select(*fields, cuts).mapInArrow(run, docs.schema).unionByName(rows.filter(~may).select(*fields))
