@@ -772,8 +772,9 @@ def pipeline_cdc(spark, sf_dir):
 
 
 def pipeline_dlq(spark, sf_dir):
-    """All rejects of both stages over good and damaged messages, one row per error."""
-    messages = damaged_messages(spark, sf_dir)
+    """All rejects of both stages over all sealed messages, whole and damaged ones, one row per error."""
+    whole = envelope.sealed_messages(sealed(spark, sf_dir))
+    messages = whole.unionByName(damaged_messages(spark, sf_dir))
     return dead_letters.one_per_error(
         pipelines.rejects_from_sealed(envelope.read_sealed(messages), sample_key(spark), VALIDATED_MS)
     )

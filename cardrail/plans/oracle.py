@@ -294,7 +294,8 @@ SELECT 'decryption' AS stage, 'DECRYPT_FAILED' AS error_code, error_message,
         "validation_errors": f"{_ERRORS} SELECT event_id, position, code, field, value, value_bin FROM errs",
         "pipeline_dlq": f"""{_ERRORS}
 SELECT event_id, 'validation' AS stage, position, code, field, value, value_bin FROM errs
-WHERE CAST(substr(event_id, 5) AS BIGINT) % 12 = 0
+UNION ALL SELECT event_id, 'validation', position, code, field, value, value_bin FROM errs
+WHERE CAST(substr(event_id, 5) AS BIGINT) % 12 = 0  -- the one damaged message in twelve that can be opened
 UNION ALL SELECT NULL, 'decryption', 0, 'DECRYPT_FAILED', NULL, NULL, NULL FROM f1 WHERE row_idx % 12 > 0""",
         "dlq_parse": f"""WITH {_F1} SELECT 'validation' AS stage, 'PARSE_FAILED' AS error_code,
   CASE row_idx % 14 WHEN 3 THEN 'AttributeError: ''str'' object has no attribute ''get'''
