@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cardrail.functions import cards, codes, dates
 from cardrail.functions.amounts import parse_amount
@@ -40,6 +40,7 @@ from cardrail.schemas import (
 )
 from cardrail.session import scratch_path
 from cardrail.sinks import files
+from cardrail.sinks.store import Store
 from cardrail.sources import changes, operations as operation_files
 from cardrail.sources.topics import FolderTopic, read_text_messages
 from cardrail.streaming.jobs import Jobs
@@ -109,9 +110,8 @@ def topic_scan(spark, sf_dir):
     )
 
 
-def _csv_folder(spark, sf_dir) -> str:
+def _csv_folder(spark, rows: DataFrame) -> str:
     path = scratch_path(spark, "csv")
-    rows = operations(spark, sf_dir)
     writer = rows.write.option("header", True).option("escape", '"').option("emptyValue", "")
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
@@ -119,10 +119,24 @@ def _csv_folder(spark, sf_dir) -> str:
 
 def csv_scan(spark, sf_dir):
     """Rows written as CSV and scanned by header name, all as text."""
-    rows = operation_files.scan_csv(spark, _csv_folder(spark, sf_dir))
+    rows = operation_files.scan_csv(spark, _csv_folder(spark, operations(spark, sf_dir)))
     return rows.select(F.col(INDEX), *(F.col(c).alias(c.lower()) for c in RECORD_COLUMNS))
 
 
+def csv_line_breaks(spark, sf_dir):
+    """Rows whose merchant names hold line breaks, quotes and commas, written as CSV and scanned by many tasks."""
+    i = F.col(INDEX)
+    name = (
+        F.when(i % 4 == 0, F.concat(F.lit('line one\n"'), i.cast("string"), F.lit('", line two\n')))
+        .when(i % 4 == 1, F.concat(F.lit("\n"), i.cast("string")))
+        .when(i % 4 == 2, '"\n"')
+        .otherwise(F.col("CARD_ACC_NAME_ADDRESS"))
+    )
+    rows = operations(spark, sf_dir).withColumn("CARD_ACC_NAME_ADDRESS", name)
+    back = operation_files.scan_quoted(spark, _csv_folder(spark, rows))
+    return back.select(F.col(INDEX), *(F.col(c).alias(c.lower()) for c in RECORD_COLUMNS))
+
+
 def bulk_load(spark, sf_dir):
     """Table rows loaded by position from CSV, and that they have ids."""
     path = scratch_path(spark, "bulk")
@@ -221,7 +235,7 @@ def publish_csv(spark, sf_dir):
 
     The given rows come in no stated order, so numbers are checked as a whole: every one from 0 on.
     """
-    path, key = _csv_folder(spark, sf_dir), sample_key(spark)
+    path, key = _csv_folder(spark, operations(spark, sf_dir)), sample_key(spark)
     frames = []
     for name, limit in (("all", 0), ("limited", REPORT_LIMIT)):
         topic = FolderTopic(scratch_path(spark, "topics"), TOPIC_SEALED)
@@ -719,6 +733,66 @@ def canonical_partitioned(spark, sf_dir):
     )
 
 
+def _history(spark, sf_dir) -> Store:
+    """A store that got the canonical records year by year, one year of them twice."""
+    path = scratch_path(spark, "canonical")
+    canonical(spark, sf_dir).write.parquet(path)
+    records = spark.read.parquet(path)
+    store = Store(spark, scratch_path(spark, "history"))
+    year = F.coalesce(F.substring("businessDate", 1, 4), F.lit("none"))
+    years = [r.year for r in records.select(year.alias("year")).distinct().orderBy("year").collect()]
+    for name in [*years, *years[:1]]:
+        store.append(records.filter(year == name), name)
+    return store
+
+
+def store_compaction(spark, sf_dir):
+    """Records and files before a compaction, as a reader sees them that began before it, and after it."""
+    store = _history(spark, sf_dir)
+    before, files_before = store.read(), store.live()
+    files_before = spark.createDataFrame(files_before.collect(), files_before.schema)
+    store.compact()
+    frames = []
+    for moment, records, listed in (("before", before, files_before), ("after", store.read(), store.live())):
+        counts = listed.agg(F.sum("rows").alias("listed"), F.count(F.lit(1)).alias("files"))
+        found = records.agg(
+            F.lit(moment).alias("moment"),
+            F.count(F.lit(1)).alias("records"),
+            F.count_distinct("msgId").alias("ids"),
+            F.count("transaction.amount.value").alias("with_amount"),
+            F.min("businessDate").alias("first_date"),
+            F.max("businessDate").alias("last_date"),
+        )
+        frames.append(found.crossJoin(counts))  # one row each
+    both = frames[0].unionByName(frames[1])
+    fewest = F.min("files").over(Window.partitionBy())
+    return both.withColumn("fewer_files", (F.col("moment") == "after") & (F.col("files") == fewest)).drop("files")
+
+
+LOOKED_UP = {"dates": ("1995-01-01", "1995-03-31"), "types": ("1100", "1420")}
+
+
+def store_lookups(spark, sf_dir):
+    """Records of a store found by date, by type and by id, and whether fewer files were opened than there are."""
+    store = _history(spark, sf_dir)
+    ends = store.live().agg(F.min("min_id"), F.max("max_id")).first()
+    frames, files = [], store.live().count()
+    for name, asked in (*LOOKED_UP.items(), ("ids", tuple(ends))):
+        opened = store.files(**{name: asked}).count()
+        found = store.read(**{name: asked})
+        frames.append(
+            found.select(
+                F.lit(name).alias("look_up"),
+                (F.lit(opened < files) if name != "types" else F.lit(None).cast("boolean")).alias("opened_fewer"),
+                F.col("msgId").alias("event_id"),
+                F.col("businessDate").alias("business_date"),
+                F.col("iso8583.mti").alias("mti"),
+                F.col("transaction.amount.value").alias("amount_value"),
+            )
+        )
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+
+
 def _finished_jobs(spark, sf_dir, changes: DataFrame | None = None, store: bool = False) -> Jobs:
     """The stages as streams over topics, run to the end of their input."""
     jobs = Jobs.in_folder(spark, scratch_path(spark, "jobs"), sample_key(spark))
@@ -785,6 +859,7 @@ QUERIES: dict[str, Query] = {
     for q in (
         topic_scan,
         csv_scan,
+        csv_line_breaks,
         bulk_load,
         cdc_scan,
         limit_rows,
@@ -793,6 +868,8 @@ QUERIES: dict[str, Query] = {
         jsonl_roundtrip,
         parquet_roundtrip,
         canonical_partitioned,
+        store_compaction,
+        store_lookups,
         stream_fanout,
         envelope_build,
         encrypt_decrypt_roundtrip,

@@ -191,6 +191,13 @@ def statements() -> dict[str, str]:
     damage = " ".join(f"WHEN {i} THEN {_quote(m)}" for i, m in _DAMAGE)
     members = _lower(*RECORD_COLUMNS)
     nullified = ", ".join(f"nullif({c}, '') AS {c.lower()}" for c in RECORD_COLUMNS)
+    lines = (
+        "CASE row_idx % 4 WHEN 0 THEN 'line one' || chr(10) || '\"' || CAST(row_idx AS STRING) || '\", line two' || chr(10) "
+        "WHEN 1 THEN chr(10) || CAST(row_idx AS STRING) WHEN 2 THEN '\"' || chr(10) || '\"' ELSE CARD_ACC_NAME_ADDRESS END"
+    )
+    broken = ", ".join(
+        f"nullif({lines if c == 'CARD_ACC_NAME_ADDRESS' else c}, '') AS {c.lower()}" for c in RECORD_COLUMNS
+    )
     opened = (
         f"{_EVENT} AS event_id, '1.0' AS schema_version, '{SOURCE_CSV}' AS source, "
         f"CAST({catalog.PRODUCED_MS} AS BIGINT) AS produced_at"
@@ -229,6 +236,7 @@ def statements() -> dict[str, str]:
             f"{_EVENT} AS event_id, '{SOURCE_CSV}' AS source, CAST({catalog.PRODUCED_MS} AS BIGINT) AS produced_at, {members}"
         ),
         "csv_scan": _f1(f"CAST(row_idx AS STRING) AS row_idx, {nullified}"),
+        "csv_line_breaks": _f1(f"CAST(row_idx AS STRING) AS row_idx, {broken}"),
         "bulk_load": _f1(f"true AS has_id, true AS has_ingested_at, {members}"),
         "cdc_scan": _f1(f"row_idx, 'r' AS op, {members}"),
         "limit_rows": _f1(
@@ -246,6 +254,17 @@ UNION ALL SELECT 'limited', {published}, NULL, NULL FROM (SELECT * FROM f1 LIMIT
         "pipeline_canonical": flat,
         "pipeline_stream": flat,
         "canonical_partitioned": f"SELECT business_date, mti, count(*) AS records, count(amount_value) AS with_amount FROM ({flat}) GROUP BY business_date, mti",
+        "store_compaction": " UNION ALL ".join(
+            f"SELECT '{moment}' AS moment, count(*) AS records, count(DISTINCT msg_id) AS ids, count(amount_value) AS with_amount, "
+            f"min(business_date) AS first_date, max(business_date) AS last_date, count(*) AS listed, {fewer} AS fewer_files FROM ({flat})"
+            for moment, fewer in (("before", "false"), ("after", "true"))
+        ),
+        "store_lookups": f"""WITH r AS ({flat})
+SELECT 'dates' AS look_up, true AS opened_fewer, msg_id AS event_id, business_date, mti, amount_value FROM r
+WHERE business_date BETWEEN '{catalog.LOOKED_UP["dates"][0]}' AND '{catalog.LOOKED_UP["dates"][1]}'
+UNION ALL SELECT 'types', NULL, msg_id, business_date, mti, amount_value FROM r WHERE mti IN {catalog.LOOKED_UP["types"]}
+UNION ALL SELECT 'ids', true, msg_id, business_date, mti, amount_value FROM r
+WHERE msg_id IN ((SELECT min(msg_id) FROM r), (SELECT max(msg_id) FROM r))""",
         "stream_fanout": f"WITH {_CHECKED} {_counts(stream)}",
         "stage_counts": f"WITH {_CHECKED} {status}",
         "storage_usage": f"""WITH {_F1} SELECT 'payloads' AS dataset, CAST(sum(strlen({payload}) + 1) AS BIGINT) AS bytes,

@@ -67,3 +67,18 @@ def move(spark: SparkSession, source: str, target: str) -> None:
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders right below ``path``; none if it is not there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(jvm_path):
+        return []
+    return [s.getPath().getName() for s in system.listStatus(jvm_path) if s.isDirectory()]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder with what is in it."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cardrail.schemas import OPERATION_TEXT_SCHEMA
 from cardrail.session import scratch_path
+from cardrail.sources import quoted_lines
 
 # A quote inside a quoted field is doubled.
 _CSV = {"header": "true", "quote": '"', "escape": '"', "inferSchema": "false"}
@@ -16,9 +17,27 @@ _NEVER = "\x00null\x00"
 def scan_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """All columns as text, named by the header; only the empty field is null (``NA`` is text).
 
-    ``multiline`` admits line breaks inside quoted fields, at the price of one task per file.
+    ``multiline`` admits line breaks inside quoted fields; the files are then read twice, by as many tasks.
     """
-    return spark.read.options(**_CSV, nullValue="", multiLine=str(multiline).lower()).csv(path)
+    if multiline:
+        return scan_quoted(spark, path)
+    return spark.read.options(**_CSV, nullValue="").csv(path)
+
+
+def scan_quoted(spark: SparkSession, path: str, index: str | None = None) -> DataFrame:
+    """The same for files with line breaks inside quoted fields. ``index`` adds a dense number from 0, by file name and
+    place in the file; it takes one row for each file in one task."""
+    names = spark.read.options(**_CSV, multiLine="true").csv(path).columns
+    text = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    rows = quoted_lines.records(spark, path)
+    if index:
+        sizes = rows.groupBy("file").agg((F.max("number")).alias("rows"))
+        before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+        sizes = sizes.select("file", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("_first"))
+        rows = rows.join(sizes, "file")
+    fields = F.from_csv("value", text, {**_CSV, "header": "false", "nullValue": ""}).alias("r")
+    places = [(F.col("_first") + F.col("number") - 1).alias(index)] if index else []
+    return rows.filter("number > 0").select(*places, fields).select(*([index] if index else []), "r.*")
 
 
 def bulk_load(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -26,19 +45,14 @@ def bulk_load(spark: SparkSession, path: str, multiline: bool = False) -> DataFr
 
     The header line is skipped, not read. An unquoted empty field is null, a quoted one is empty
     text. A line with too few or too many fields fails the load. Ids are unique, not dense.
+    ``multiline`` admits line breaks inside quoted fields; the files are then read twice, by as many tasks.
     """
-    rows = (
-        spark.read.schema(OPERATION_TEXT_SCHEMA)
-        .options(
-            **_CSV,
-            enforceSchema="true",
-            mode="FAILFAST",
-            nullValue=_NEVER,
-            emptyValue="",
-            multiLine=str(multiline).lower(),
-        )
-        .csv(path)
-    )
+    strict = {"mode": "FAILFAST", "nullValue": _NEVER, "emptyValue": ""}
+    if multiline:
+        fields = F.from_csv("value", OPERATION_TEXT_SCHEMA.toDDL(), {**_CSV, **strict, "header": "false"}).alias("r")
+        rows = quoted_lines.records(spark, path).filter("number > 0").select(fields).select("r.*")
+    else:
+        rows = spark.read.schema(OPERATION_TEXT_SCHEMA).options(**_CSV, **strict, enforceSchema="true").csv(path)
     return rows.select(
         (F.monotonically_increasing_id() + 1).alias("id"),
         *rows.columns,
