@@ -36,6 +36,23 @@ def mask_pan(pan: Column) -> Column:
     )
 
 
+# Runs of 13 to 19 digits in a text: without separators, in groups of four, and with single separators anywhere.
+_NUMBERS_IN_TEXT = (
+    r"(?<![0-9])[0-9]{13,19}(?![0-9])",
+    r"(?<![0-9])[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{1,3})?(?![0-9])",
+    r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+)
+
+
+def mask_in_text(text: Column) -> Column:
+    """A text of any kind with the card numbers in it masked: digit runs, with single spaces or hyphens between, that
+    pass the check digit. A number that only looks like one is left, unless it passes by chance."""
+    found = F.concat(*(F.regexp_extract_all(text, F.lit(p), F.lit(0)) for p in _NUMBERS_IN_TEXT))
+    numbers = F.array_distinct(F.filter(found, passes_luhn))
+    masked = F.aggregate(numbers, text, lambda so_far, number: F.replace(so_far, number, mask_pan(number)))
+    return F.when(text.rlike(_NUMBERS_IN_TEXT[-1]), masked).otherwise(text)
+
+
 def pan_bin(pan: Column) -> Column:
     return F.when(F.length(pan) >= BIN_LENGTH, F.substring(pan, 1, BIN_LENGTH))
 

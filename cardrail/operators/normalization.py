@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cardrail.functions.amounts import amount, parse_amount
-from cardrail.functions.cards import card_scheme, mask_pan, pan_bin
+from cardrail.functions.cards import card_scheme, mask_in_text, mask_pan, pan_bin
 from cardrail.functions.codes import mcc_description, mti_name
 from cardrail.functions.dates import business_date, to_iso8601
 from cardrail.functions.payload import Payload
@@ -197,13 +197,14 @@ def accepted(normalized: DataFrame) -> DataFrame:
     return normalized.filter(F.col("fault").isNull()).select(*CANONICAL_MEMBERS)
 
 
-def rejected(normalized: DataFrame) -> DataFrame:
+def rejected(normalized: DataFrame, mask_card_numbers: bool = False) -> DataFrame:
     """Technical dead letters for envelopes that could not be read; the stage does not stop."""
+    original = mask_in_text(F.col("value")) if mask_card_numbers else F.col("value")
     return normalized.filter(F.col("fault").isNotNull()).select(
         F.lit(STAGE).alias("stage"),
         F.lit(PARSE_FAILED).alias("errorCode"),
         F.col("fault").alias("errorMessage"),
-        F.col("value").alias("originalMessage"),
+        original.alias("originalMessage"),
         F.col("_processing.normalizedAt").alias("timestamp"),
     )
 

@@ -7,7 +7,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from cardrail.functions.cards import BIN_LENGTH, mask_pan, passes_luhn
+from cardrail.functions.cards import BIN_LENGTH, mask_in_text, mask_pan, passes_luhn
 from cardrail.functions.codes import is_known_currency, is_known_mti
 from cardrail.functions.payload import PAYLOAD_TEXT, Payload
 from cardrail.functions.records import JSON_OPTIONS, bound, fenced, is_falsy, is_object_text, settled
@@ -149,13 +149,19 @@ def payload_as_map(df: DataFrame) -> Column:
 def rejected(checked: DataFrame, mask_card_numbers: bool = False) -> DataFrame:
     """Dead letters: whole envelopes with their error list, or technical ones for ``fault``.
 
-    Card numbers stay readable unless ``mask_card_numbers`` is set; the original text of a record
-    that did not parse is then left out as well.
+    Card numbers stay readable unless ``mask_card_numbers`` is set; it also masks those in members that no one
+    expects, and in the original text of a record that did not parse.
     """
     columns = reject_columns(checked, mask_card_numbers)
     return checked.filter(~F.col("valid")).select(*(c.alias(n) for n, c in columns.items()))
 
 
+def _masked_value(value: Column) -> Column:
+    """A JSON value with the card numbers in it masked; a number that is one becomes text."""
+    text = mask_in_text(F.to_json(value))
+    return F.coalesce(F.try_parse_json(text), F.try_parse_json(F.concat(F.lit('"'), text, F.lit('"'))))
+
+
 def reject_columns(checked: DataFrame, mask_card_numbers: bool = False) -> dict[str, Column]:
     """Members of a dead letter."""
     parsed = F.col("fault").isNull()
@@ -166,11 +172,13 @@ def reject_columns(checked: DataFrame, mask_card_numbers: bool = False) -> dict[
             payload,
             lambda name, text: F.when(name == "CARD_NUMBER", mask_pan(strip(text))).otherwise(text),
         )
-        original = F.lit(None).cast("string")
-    head = [c for c in (*ENVELOPE_HEAD, "_processing", "extras") if c in checked.columns]
+        original = mask_in_text(original)
+    head = {c: F.col(c) for c in (*ENVELOPE_HEAD, "_processing", "extras") if c in checked.columns}
+    if mask_card_numbers and "extras" in head:
+        head["extras"] = F.transform_values("extras", lambda name, value: _masked_value(value))
     verdict = F.struct(F.lit(False).alias("valid"), F.col("errors").alias("errors"))
     return {
-        **{c: F.when(parsed, F.col(c)) for c in head},
+        **{name: F.when(parsed, c) for name, c in head.items()},
         "payload": F.when(parsed, payload),
         "validation": F.when(parsed, verdict),
         "stage": F.lit(STAGE),

@@ -528,6 +528,25 @@ def dlq_parse(spark, sf_dir):
     )
 
 
+def broken_messages(spark, sf_dir) -> DataFrame:
+    """Texts that break off behind a card number, inside a note in every third of them."""
+    rows = operations(spark, sf_dir, ("CARD_NUMBER",))
+    pan, i = F.coalesce("CARD_NUMBER", F.lit("None")), F.col(INDEX)
+    note = F.concat(F.lit('{"note":"call 12, card '), pan, F.lit(" of "), i.cast("string"), F.lit(' times"'))
+    member = F.concat(F.lit('{"payload":{"CARD_NUMBER":"'), pan, F.lit('"'))
+    return rows.select(F.when(i % 3 == 0, note).otherwise(member).alias("value"))
+
+
+def dlq_masked(spark, sf_dir):
+    """Texts of technical dead letters of two stages, the card numbers in them masked."""
+    opened = envelope.read_open(broken_messages(spark, sf_dir))
+    rejects = dead_letters.union(
+        validation.rejected(validation.validate(opened, VALIDATED_MS), mask_card_numbers=True),
+        normalization.rejected(normalization.normalize(opened, NORMALIZED_MS), mask_card_numbers=True),
+    )
+    return rejects.select("stage", F.col("errorCode").alias("error_code"), F.col("originalMessage").alias("original_message"))
+
+
 # --- normalization ---------------------------------------------------------------------------
 
 DATE_COLUMNS = (
@@ -889,6 +908,7 @@ QUERIES: dict[str, Query] = {
         luhn_check,
         validation_errors,
         dlq_parse,
+        dlq_masked,
         iso8601_dates,
         business_date,
         amounts,

@@ -330,6 +330,12 @@ UNION ALL SELECT NULL, 'decryption', 0, 'DECRYPT_FAILED', NULL, NULL, NULL FROM
    WHEN 12 THEN {odd} '{{}}}}],[{{}}' WHEN 13 THEN {odd} '{{}}}}}},{{}}' ELSE {odd} '{{}},"_processing":null}}' END AS original_message,
   CAST({catalog.VALIDATED_MS} AS BIGINT) AS rejected_at
 FROM f1 WHERE row_idx % 14 IN (3, 4, 6, 7, 8, 9, 10, 11, 12, 13)""",
+        "dlq_masked": f"""WITH {_F1}, p AS (SELECT row_idx, coalesce(CARD_NUMBER, 'None') AS pan FROM f1),
+m AS (SELECT row_idx, CASE WHEN {_luhn("pan")} THEN {_MASK.format(p="pan")} ELSE pan END AS pan FROM p)
+SELECT stage, 'PARSE_FAILED' AS error_code, CASE WHEN row_idx % 3 = 0
+  THEN '{{"note":"call 12, card ' || pan || ' of ' || CAST(row_idx AS STRING) || ' times"'
+  ELSE '{{"payload":{{"CARD_NUMBER":"' || pan || '"' END AS original_message
+FROM m, (VALUES ('validation'), ('normalization')) s(stage)""",
         "iso8601_dates": _f1(
             "row_idx, " + ", ".join(f"{_iso(c)} AS {c.lower()}" for c in catalog.DATE_COLUMNS)
         ),

@@ -168,3 +168,21 @@ def test_payload_tells_null_from_absent(spark):
     table = rows.select(F.struct(F.lit(None).cast("string").alias("A")).alias("payload"))
     p = Payload.of(table)
     assert tuple(table.select(p.text("A"), p.text("B"), p.raw("B")).first()) == ("None", "", None)
+
+
+def test_mask_in_text(apply):
+    texts = {
+        "card 4539578763621486.": "card 453957******1486.",
+        "4539 5787 6362 1486": "4539 5*********1486",
+        "12 4539-5787-6362-1486 x": "12 4539-5*********1486 x",
+        "1700000000000 4539578763621486 2024": "1700000000000 453957******1486 2024",
+        "3782 822463 10005": "3782 8" + "*" * 7 + "0005",
+        "4539578763621487": "4539578763621487",
+        "45395787636214860000000": "45395787636214860000000",
+        "no number": "no number",
+        "": "",
+        '{"a":"4111111111111111","b":4111111111111111': '{"a":"411111******1111","b":411111******1111',
+        "two 4111111111111111 and 5555 5555 5555 4444": "two 411111******1111 and 5555 5*********4444",
+    }
+    assert apply(cards.mask_in_text, list(texts)) == list(texts.values())
+    assert apply(cards.mask_in_text, [None]) == [None]

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from cardrail.operators import cdc, dead_letters, envelope, normalization, validation
+from cardrail.operators import cdc, dead_letters, decryption, envelope, normalization, validation
 from cardrail.schemas import CANONICAL_DDL
 
 GOOD = {
@@ -285,3 +285,18 @@ def test_one_value_and_no_more(apply):
     whole = ['{"a":1}', " [1, 2] ", '"x"', "7", "null", "true", "NaN", '{"v":1,"w":2}']
     assert apply(is_one_json_value, whole) == [True] * len(whole)
     assert apply(is_one_json_value, STRAY_CLOSERS) == [False] * len(STRAY_CLOSERS)
+
+
+def test_masked_dead_letters_hold_no_card_number(spark, key):
+    number = "4539578763621486"
+    text = '{"eventId":"e","payload":{"CARD_NUMBER":"%s","MESSAGE_TYPE":"9"},"odd":%s,"odder":{"n":"x %s"}}' % ((number,) * 3)
+    messages = spark.createDataFrame([(text,), (text[:-3],), (f'"{number}"',)], "value string")
+    opened = envelope.read_open(messages)
+    frames = [
+        validation.rejected(validation.validate(opened, 1), mask_card_numbers=True),
+        normalization.rejected(normalization.normalize(opened, 1), mask_card_numbers=True),
+        decryption.rejected(decryption.decrypt(envelope.read_sealed(messages), key, 1), mask_card_numbers=True),
+    ]
+    texts = [r[0] for frame in frames for r in frame.select(dead_letters.text(frame)).collect()]
+    assert len(texts) > 5 and not any(number in t for t in texts)
+    assert all("453957******1486" in t for t in texts)
