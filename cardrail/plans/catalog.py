@@ -189,6 +189,51 @@ def cdc_scan(spark, sf_dir):
     )
 
 
+#: Log positions between the starts of two chunk reads; a chunk is read at 3 and marked at 0 and 6 of 10 of them.
+READ_EVERY = 100
+
+
+def change_log(rows: DataFrame) -> DataFrame:
+    """Changes of three in five rows: an update, a deletion, both in turn; and new rows."""
+    i, after = F.col("id"), F.struct(*rows.columns)
+    at = F.pmod(F.xxhash64("id"), F.lit(9 * READ_EVERY)) + 1
+    changed = F.struct(*(F.lit("1.00").alias(c) if c == "transaction_amount" else F.col(c) for c in rows.columns))
+    new = F.struct(*((-i - 1).alias("id") if c == "id" else F.col(c) for c in rows.columns))
+
+    def change(op: str, position: Column, image: Column, key: Column = i) -> Column:
+        return F.struct(key.alias("id"), position.alias("position"), F.lit(op).alias("op"), image.alias("after"))
+
+    gone = F.lit(None).cast(rows.select(after).schema[0].dataType)
+    listed = (
+        F.when(i % 5 == 1, F.array(change("u", at, changed)))
+        .when(i % 5 == 2, F.array(change("d", at, gone)))
+        .when(i % 5 == 3, F.array(change("u", at, changed), change("d", at + 2 * READ_EVERY, gone)))
+        .when(i % 5 == 4, F.array(change("c", at, new, -i - 1)))
+    )
+    return rows.select(F.explode(listed).alias("x")).select("x.*")
+
+
+def last_images(events: DataFrame) -> DataFrame:
+    """The rows that are there after all events."""
+    last = F.max_by(F.struct("op", "after"), "position").alias("last")
+    return events.groupBy("id").agg(last).filter("last.op <> 'd'").select("last.after.*")
+
+
+def cdc_snapshot_then_changes(spark, sf_dir):
+    """Rows after a snapshot in chunks, each read at another time, and the changes of a table that never stood still."""
+    columns = ("MESSAGE_TYPE", "TRANSACTION_AMOUNT")
+    rows = operations(spark, sf_dir, columns).select(F.col(INDEX).alias("id"), *(F.col(c).alias(c.lower()) for c in columns))
+    log, bounds = change_log(rows), changes.key_bounds(rows, chunks=8)
+    marks = spark.createDataFrame(
+        [(k, READ_EVERY * k, READ_EVERY * k + 60) for k in range(len(bounds) + 1)], "chunk int, low long, high long"
+    )
+    begun = rows.select("id", F.lit(0).cast("long").alias("position"), F.lit("r").alias("op"), F.struct(*rows.columns).alias("after"))
+    read_at = READ_EVERY * changes.chunk_of(F.col("id"), bounds) + 30
+    read = last_images(begun.unionByName(log).filter(F.col("position") <= read_at))
+    read = read.select("id", F.struct(*read.columns).alias("after"))
+    return last_images(changes.handover(read, marks, log, bounds))
+
+
 def limit_rows(spark, sf_dir):
     """The first rows in index order: the limit is the feature."""
     columns = ("MESSAGE_TYPE", "TRANSACTION_AMOUNT")
@@ -881,6 +926,7 @@ QUERIES: dict[str, Query] = {
         csv_line_breaks,
         bulk_load,
         cdc_scan,
+        cdc_snapshot_then_changes,
         limit_rows,
         publish_rows,
         publish_csv,

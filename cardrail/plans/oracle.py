@@ -239,6 +239,9 @@ def statements() -> dict[str, str]:
         "csv_line_breaks": _f1(f"CAST(row_idx AS STRING) AS row_idx, {broken}"),
         "bulk_load": _f1(f"true AS has_id, true AS has_ingested_at, {members}"),
         "cdc_scan": _f1(f"row_idx, 'r' AS op, {members}"),
+        "cdc_snapshot_then_changes": f"""WITH {_F1} SELECT row_idx AS id, MESSAGE_TYPE AS message_type,
+  CASE WHEN row_idx % 5 = 1 THEN '1.00' ELSE TRANSACTION_AMOUNT END AS transaction_amount FROM f1 WHERE row_idx % 5 NOT IN (2, 3)
+UNION ALL SELECT -row_idx - 1, MESSAGE_TYPE, TRANSACTION_AMOUNT FROM f1 WHERE row_idx % 5 = 4""",
         "limit_rows": _f1(
             "row_idx, " + _lower("MESSAGE_TYPE", "TRANSACTION_AMOUNT"),
             f"ORDER BY row_idx LIMIT {catalog.REPORT_LIMIT}",
