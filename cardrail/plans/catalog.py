@@ -857,20 +857,29 @@ def store_lookups(spark, sf_dir):
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
-def _finished_jobs(spark, sf_dir, changes: DataFrame | None = None, store: bool = False) -> Jobs:
-    """The stages as streams over topics, run to the end of their input."""
+def _finished_jobs(spark, sf_dir, changes: DataFrame | None = None, store: bool = False, messages: DataFrame | None = None) -> Jobs:
+    """The stages as streams over topics, run to the end of their input; the finished queries are kept in ``ran``."""
     jobs = Jobs.in_folder(spark, scratch_path(spark, "jobs"), sample_key(spark))
-    messages = envelope.sealed_messages(sealed(spark, sf_dir))
+    messages = envelope.sealed_messages(sealed(spark, sf_dir)) if messages is None else messages
     jobs.topic(TOPIC_SEALED).append(messages, "publisher")
     if changes is not None:
         events = changes.select(F.lit(None).cast("string").alias("key"), "value")
         jobs.topic(TOPIC_CDC).append(events, "connector")
-        jobs.cdc_adapter().awaitTermination()
-    for start in (jobs.decryption, jobs.validation, jobs.normalization, *([jobs.store] if store else [])):
-        start().awaitTermination()
+    starts = [jobs.decryption, jobs.validation, jobs.normalization, *([jobs.store] if store else [])]
+    for start in [*([jobs.cdc_adapter] if changes is not None else []), *starts]:
+        query = start()
+        query.awaitTermination()
+        jobs.ran.append(query)
     return jobs
 
 
+def progress_counts(spark, sf_dir):
+    """Records each stage accepted and rejected, as counted by its own pass, over whole and damaged messages."""
+    messages = envelope.sealed_messages(sealed(spark, sf_dir)).unionByName(damaged_messages(spark, sf_dir))
+    jobs = _finished_jobs(spark, sf_dir, changes=change_events(spark, sf_dir), store=True, messages=messages)
+    return monitoring.progress_counts(spark, jobs.ran)
+
+
 def pipeline_stream(spark, sf_dir):
     """The stages as streams over topics, up to the canonical texts."""
     jobs = _finished_jobs(spark, sf_dir)
@@ -973,6 +982,7 @@ QUERIES: dict[str, Query] = {
         union_sources,
         union_dlq,
         stage_counts,
+        progress_counts,
         load_count,
         storage_usage,
         pipeline_canonical,

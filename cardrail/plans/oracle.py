@@ -270,6 +270,14 @@ UNION ALL SELECT 'ids', true, msg_id, business_date, mti, amount_value FROM r
 WHERE msg_id IN ((SELECT min(msg_id) FROM r), (SELECT max(msg_id) FROM r))""",
         "stream_fanout": f"WITH {_CHECKED} {_counts(stream)}",
         "stage_counts": f"WITH {_CHECKED} {status}",
+        "progress_counts": f"""WITH {_CHECKED}, c AS (SELECT count(*) AS everything, count(*) FILTER (errors = 0) AS good,
+  count(*) FILTER (row_idx % 12 = 0) AS opened, count(*) FILTER (row_idx % 12 = 0 AND errors = 0) AS opened_good,
+  count(*) FILTER ({_ADAPTED}) AS changed, count(*) FILTER ({_ADAPTED} AND errors = 0) AS changed_good FROM w)
+SELECT 'cdc-adapter' AS job, changed AS accepted, CAST(0 AS BIGINT) AS rejected FROM c
+UNION ALL SELECT 'decryption', everything + opened, everything - opened FROM c
+UNION ALL SELECT 'validation', good + opened_good + changed_good, everything + opened + changed - good - opened_good - changed_good FROM c
+UNION ALL SELECT 'normalization', good + opened_good + changed_good, 0 FROM c
+UNION ALL SELECT 'store', good + opened_good + changed_good, 0 FROM c""",
         "storage_usage": f"""WITH {_F1} SELECT 'payloads' AS dataset, CAST(sum(strlen({payload}) + 1) AS BIGINT) AS bytes,
   true AS has_files, count(*) AS rows FROM f1 UNION ALL SELECT 'payloads-parquet', NULL, true, count(*) FROM f1""",
         "envelope_build": _f1(f"{opened}, {members}"),
