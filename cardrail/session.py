@@ -69,13 +69,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def subfolders(spark: SparkSession, path: str) -> list[str]:
-    """The names of the folders right below ``path``; none if it is not there."""
+def subfolders(spark: SparkSession, path: str, with_times: bool = False) -> list:
+    """The names of the folders right below ``path``, with the milliseconds of their last change if asked for; none if
+    it is not there."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not system.exists(jvm_path):
         return []
-    return [s.getPath().getName() for s in system.listStatus(jvm_path) if s.isDirectory()]
+    found = [(s.getPath().getName(), s.getModificationTime()) for s in system.listStatus(jvm_path) if s.isDirectory()]
+    return found if with_times else [name for name, _ in found]
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -18,6 +18,7 @@ from cardrail.schemas import (
 )
 from cardrail.session import scratch_path
 from cardrail.sinks import files
+from cardrail.sinks.store import Store
 from cardrail.sources import operations
 from cardrail.sources.topics import PUBLISHER_OPTIONS, FolderTopic, KafkaTopic
 from cardrail.streaming.jobs import Jobs
@@ -235,7 +236,7 @@ def values(topic, spark):
 
 @pytest.fixture(scope="module")
 def finished(spark, key):
-    jobs = Jobs.in_folder(spark, scratch_path(spark, "run"), key, max_per_trigger=1)
+    jobs = Jobs.in_folder(spark, scratch_path(spark, "run"), key, max_per_trigger=800)
     messages = catalog.damaged_messages(spark, SF).repartition(3)
     jobs.topic(TOPIC_SEALED).append(messages, "publisher")
     jobs.topic(TOPIC_CDC).append(
@@ -323,3 +324,46 @@ def test_one_query_gives_the_same_store(spark, key):
     good = spark.read.parquet(jobs.dataset("canonical-partitioned")).count()
     assert good == catalog.canonical(spark, SF).count()
     assert good + count(spark, jobs, TOPIC_DLQ) == messages.count()
+
+
+def test_a_batch_has_no_more_messages_than_the_cap(spark):
+    topic = FolderTopic(scratch_path(spark, "capped"), "x", messages_per_file=70)
+    messages = spark.range(1000).selectExpr("cast(id as string) key", "cast(id as string) value")
+    topic.append(messages.repartition(2), "a")
+    topic.append(messages.limit(10), "b")
+    with pytest.raises(ValueError):
+        topic.stream(spark, 50)
+    sizes = []
+    query = (
+        topic.stream(spark, 200)
+        .writeStream.option("checkpointLocation", scratch_path(spark, "capped-checkpoint"))
+        .trigger(availableNow=True)
+        .foreachBatch(lambda batch, _: sizes.append(batch.count()))
+        .start()
+    )
+    query.awaitTermination()
+    assert sum(sizes) == 1010 and max(sizes) <= 200 and len(sizes) >= 7
+
+
+def test_old_batches_of_a_topic_expire(spark):
+    topic = FolderTopic(scratch_path(spark, "expiring"), "x")
+    messages = spark.range(10).selectExpr("cast(id as string) key", "cast(id as string) value")
+    for batch in range(3):
+        topic.append(messages, "a", batch)
+    for batch, when in ((0, 1_000), (1, 5_000_000)):
+        os.utime(f"{topic.path.removeprefix('file:')}/a/batch_id={batch}", (when, when))
+    assert topic.expire(spark, 4_000_000 * 1_000) == 1
+    assert topic.read(spark).count() == 20
+    assert topic.expire(spark, 4_000_000 * 1_000) == 0
+
+
+def test_jobs_keep_a_history(spark, key):
+    jobs = Jobs.in_folder(spark, scratch_path(spark, "history"), key, history=True)
+    jobs.topic(TOPIC_SEALED).append(envelope.sealed_messages(catalog.sealed(spark, SF)), "publisher")
+    query = jobs.sealed_to_canonical()
+    query.awaitTermination()
+    want = sorted(r.msgId for r in catalog.canonical(spark, SF).select("msgId").collect())
+    store = Store(spark, jobs.dataset("canonical-history"))
+    assert sorted(r.msgId for r in store.read().select("msgId").collect()) == want
+    counted = monitoring.progress_counts(spark, [query]).first()
+    assert (counted.accepted, counted.rejected) == (1500, 0)
