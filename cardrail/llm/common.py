@@ -8,7 +8,6 @@ from pathlib import Path
 from typing import TypeVar
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cardrail.session import scratch_path
@@ -73,14 +72,21 @@ class Marked:
         place = keys.view("i8") % self.BITS
         return (self.held.value[place >> 6] >> (place & 63).astype("u8")) & np.uint64(1) == 1
 
-    def column(self, key: Column) -> Column:
-        """Whether a column of 64-bit hashes may be among the keys."""
+    def divided(self, df: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+        """The rows of ``df`` whose 64-bit hash may be among the keys, and those whose is not. Narrow passes."""
+        (name,) = fresh(df, "marked_key")
 
-        @F.pandas_udf("boolean")
-        def found(keys: pd.Series) -> pd.Series:
-            return pd.Series(self.has(keys.to_numpy("i8")))
+        def chosen(wanted: bool):
+            def run(batches):
+                import pyarrow as pa
 
-        return found(key)
+                for batch in batches:
+                    hit = self.has(batch.column(name).to_numpy())
+                    yield batch.drop_columns([name]).filter(pa.array(hit == wanted))
+
+            return df.withColumn(name, key).mapInArrow(run, df.schema)
+
+        return chosen(True), chosen(False)
 
 
 def bounded_sample(df: DataFrame, rows: int, *key: str) -> DataFrame:

@@ -270,12 +270,11 @@ def drop_repeats(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     tag, doc_id, own, cuts = fresh(docs, "text_tag", "cut_doc_id", "cut_tag", "cuts")
     spans = repeats(docs, s).filter("not kept").groupBy(F.col("doc_id").alias(doc_id), F.col("tag").alias(own))
     spans = written(spans.agg(F.collect_list(F.struct("start", "n_words")).alias(cuts)), "cuts")
-    # rows without a cut stay where they are
+    # rows without a cut stay where they are; the others meet their cuts in a stage of their own, with one worker a task
     some = Marked(spans.select(F.xxhash64(doc_id, own).alias("key")), "key")
-    rows = docs.withColumn(tag, text_tag())
-    may = some.column(F.xxhash64(F.col("doc_id").cast("long"), tag))
+    rows, others = some.divided(docs.withColumn(tag, text_tag()), F.xxhash64(F.col("doc_id").cast("long"), tag))
     same = (F.col("doc_id").cast("long") == F.col(doc_id)) & (F.col(tag) == F.col(own))
-    joined = rows.filter(may).join(spans, same, "left")
+    joined = rows.join(spans.hint("merge"), same, "left")
     fields = docs.schema.names
 
     def run(batches):
@@ -293,4 +292,4 @@ def drop_repeats(docs: DataFrame, s: Settings | None = None) -> DataFrame:
                 columns["n_chars"] = pa.array(sizes, pa.int64()).cast(columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=fields)
 
-    return joined.select(*fields, cuts).mapInArrow(run, docs.schema).unionByName(rows.filter(~may).select(*fields))
+    return joined.select(*fields, cuts).mapInArrow(run, docs.schema).unionByName(others.select(*fields))
