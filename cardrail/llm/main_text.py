@@ -10,8 +10,11 @@ that speaks for content they do not end the region.
 Labelled pages are (a) the layouts in ``labelled_pages`` and (b) a bounded sample of the given pages that name their
 article by an ``article`` or ``main`` element; what stands outside of it is labelled as not content.
 
-An element that by its meaning in HTML is no content (navigation, an aside, a footer, a dialog, a menu, anything hidden)
-scores negative whatever the weights, unless it holds the article itself.
+An element that by its meaning in HTML is no content (navigation, an aside, a footer, a dialog, a menu, a form, anything
+hidden), or that calls itself the readers' comments or an advert, scores negative whatever the weights, unless it holds the article
+itself. A form with half of a page's words or more is the page's frame and no form to fill in. Where the region is in
+an ``article`` or ``main`` element, the rest of it, such as a heading or a list of links, goes with it, but for elements
+whose class speaks against them.
 
 The text: character references decoded, white space inside a block turned into one space, blocks trimmed and joined by
 an empty line. A ``br`` is white space.
@@ -62,10 +65,19 @@ WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: Elements that hold a page's content, and elements that are not part of the text around them.
 CONTENT = frozenset({"tag:article", "tag:main"})
-NOT_CONTENT = frozenset({"tag:nav", "tag:aside", "tag:footer", "tag:dialog", "tag:menu", "hidden"})
+NOT_CONTENT = frozenset({"tag:nav", "tag:aside", "tag:footer", "tag:dialog", "tag:menu", "tag:form", "hidden", "named"})
+
+#: Whole class names and ids of readers' comments and of adverts.
+NAMED = frozenset(
+    "comment comments commentlist comment-list comments-area comments-section disqus_thread discussion feedback replies "
+    "reader-comments respond responses user-comments ad ads advert adverts advertisement advertising sponsored".split()
+)
 
 SAMPLE_PAGES = 400
 
+#: The weight of the class words inside an article below which a block is no part of its text.
+AGAINST = -0.5
+
 
 @dataclass
 class Block:
@@ -76,6 +88,7 @@ class Block:
     linked: int = 0
     label: int | None = None
     open: bool = False  # the next piece of text goes on the last word
+    framed: bool = False  # the page stands in a form
 
     @property
     def features(self) -> frozenset[str]:
@@ -83,9 +96,14 @@ class Block:
 
     def set_apart(self) -> bool:
         """Whether it stands in an element that is no content, and in none that holds content within that."""
-        inner = next((a for a in self.around if a & NOT_CONTENT), None)
+        no_content = NOT_CONTENT - {"tag:form"} if self.framed else NOT_CONTENT
+        inner = next((a for a in self.around if a & no_content), None)
         return inner is not None and not (self.features & CONTENT) - (inner & CONTENT)
 
+    def article(self) -> frozenset[str] | None:
+        """The features of the outermost element around it that holds a page's content by its name."""
+        return next((a for a in self.around if a & CONTENT), None)
+
     def shape(self) -> tuple[str, str]:
         share, n = self.linked / max(1, len(self.words)), len(self.words)
         return f"links:{math.ceil(4 * share)}", f"length:{min(6, n.bit_length())}"
@@ -114,6 +132,8 @@ def _marks(name: str, rest: str) -> tuple[tuple[str, ...], str | None]:
         elif kind == "hidden" or (kind == "aria-hidden" and value.strip().lower() == "true"):
             found.append("hidden")
         elif kind in WORDED:
+            if name not in ("html", "body", "article", "main") and not NAMED.isdisjoint(value.lower().split()):
+                found.append("named")
             found += [f"word:{w.lower()}" for w in WORD_PARTS.findall(value)]
     return tuple(found), label
 
@@ -179,6 +199,10 @@ def read(html: str | None, labelled: bool = True) -> tuple[list[Block], list[int
                 label = above.label if label is None else label
                 stack.append(Element(name, around, label, skipped, (len(blocks), len(sequence))))
                 links += name == "a"
+    in_forms = sum(len(b.words) for b in blocks if "tag:form" in b.features)
+    if in_forms and 2 * in_forms >= sum(len(b.words) for b in blocks):
+        for block in blocks:
+            block.framed = True
     return blocks, sequence
 
 
@@ -202,6 +226,11 @@ class Weights:
             return 0.0
         return max(-1.0, min(1.0, weight))
 
+    def belongs(self, block: Block) -> bool:
+        """Whether a block of an article is part of its text: not set apart, and no class in it speaks against it."""
+        own = sum(self.places.get(f, 0.0) for f in block.features - block.article() if f.startswith("word:"))
+        return not block.set_apart() and own > AGAINST
+
     def around(self, features: frozenset[str]) -> float:
         if features not in self.sums:
             if len(self.sums) > 10_000:
@@ -257,8 +286,10 @@ def main_text(html: str | None, weights: Weights) -> str:
     words = [weights.word(b) for b in blocks]
     scores = [words[s] if isinstance(s, int) else weights.tags.get(s, weights.other) for s in sequence]
     start, end = best_run(scores)
-    kept = dict.fromkeys(s for s in sequence[start:end] if isinstance(s, int) and words[s] > 0)
-    return "\n\n".join(" ".join(blocks[b].words) for b in kept)
+    kept = {s for s in sequence[start:end] if isinstance(s, int) and words[s] > 0}
+    articles = {a for b in kept if (a := blocks[b].article()) is not None}
+    kept |= {i for i, b in enumerate(blocks) if b.article() in articles and weights.belongs(b)}
+    return "\n\n".join(" ".join(blocks[b].words) for b in sorted(kept))
 
 
 def self_labelled(html: str | None) -> tuple[list[Block], list[int | str]] | None:

@@ -291,3 +291,36 @@ def test_pipeline_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+P = "<p>" + "The first long paragraph tells a story about rivers and towns and people who live there for years. " * 3 + "</p>"
+
+
+def whole_page(inner, article="<article>"):
+    menu = "<nav><a href=/>Home</a><a href=/a>About</a></nav>"
+    return f"<html><body>{menu}<main>{article}<h1>Title here</h1>{inner}</article></main><footer>Footer words</footer></body></html>"
+
+
+@pytest.fixture(scope="module")
+def own_weights():
+    return main_text.fit([main_text.read(p) for p in labelled_pages.pages()])
+
+
+def test_forms_links_and_comments(own_weights):
+    def text(page):
+        return main_text.main_text(page, own_weights).split("\n\n")
+
+    para = " ".join(P[3:-4].split())
+    items = [f"Item number {i}" for i in range(6)]
+    links = "<ul>" + "".join(f"<li><a href=/{i}>{x}</a></li>" for i, x in enumerate(items)) + "</ul>"
+    assert text(whole_page(P + "<form><p>Subscribe to our list now please</p><label>Your name</label></form>" + P)) == ["Title here", para, para]
+    assert text(whole_page("<h2>Links</h2>" + links + P)) == ["Title here", "Links", *items, para]
+    assert text(whole_page(P + links)) == ["Title here", para, *items]
+    replies = "<div class='feedback'><h3>2 replies</h3><p>I liked it very much and will read it again.</p></div>"
+    assert text(whole_page(P + replies)) == ["Title here", para]
+    assert text(whole_page(P, "<article class='post comments'>")) == ["Title here", para]
+    # a form around the whole page is its frame
+    assert text(f"<form action=x>{whole_page(P)}</form>") == ["Title here", para]
+    assert text(f"<html><body><form><div class=content><h1>Title here</h1>{P * 3}</div></form></body></html>") == ["Title here", *[para] * 3]
+    advert = "<div class='advert'><p>" + "Buy this now cheap offer. " * 40 + "</p></div>"
+    assert text(whole_page(P + advert + P)) == ["Title here", para, para]
