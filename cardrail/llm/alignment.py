@@ -53,6 +53,12 @@ BLOCK_SCHEMA = (
 #: In front of a word, and instead of a byte that no piece holds.
 SPACE, BYTE = "▁", re.compile(r"<0x([0-9A-F]{2})>\Z")
 
+#: Stands between words that are mapped together: no text holds a lone surrogate.
+APART = "\ud800"
+
+#: A chunk of one space and a word.
+PLAIN = re.compile(f" [^{BLANK}]+").fullmatch
+
 
 def diagonal_runs(a: list[int], b: list[int]) -> list[tuple[int, int, int]]:
     """Runs (i, j, n): groups end with tokens i and j, i + 1 and j + 1, ..., n of them.
@@ -140,16 +146,37 @@ class ByteLevel:
             raise ValueError(f"{path}: ids are not in the order of the merges")
         self.bytes_of = self.coder.bytes_of[: 256 + len(order)]
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(self.bytes_of))
+        self.mapped = Mapped(self.coder.to_characters)
 
     def encode(self, chunks: list[str]) -> Rows:
-        words = [self.coder.words(c, added=False) for c in chunks]
-        mapped = "".join([w + MARK for ws in words for w in map(self._mapped, ws)])
-        found = between(self.model.encode(mapped), len(self.bytes_of))
-        ends = np.cumsum(list(map(len, words)))
-        return Rows(found.values, np.diff(np.cumsum(found.lengths)[ends - 1], prepend=0))
-
-    def _mapped(self, word: str) -> str:
-        return word.encode().decode("latin-1").translate(self.coder.to_characters)
+        # words with one space before them are split in one go: no pre-token goes over the end of such a chunk
+        plain = [bool(PLAIN(c)) for c in chunks]
+        words = self.coder.words("".join([c for c, yes in zip(chunks, plain, strict=True) if yes]), added=False)
+        ends = np.cumsum([len(c) for c, yes in zip(chunks, plain, strict=True) if yes])
+        count = np.zeros(len(chunks), "i8")
+        count[plain] = np.diff(np.searchsorted(np.cumsum(list(map(len, words))), ends, "right"), prepend=0)
+        others = [self.coder.words(c, added=False) for c, yes in zip(chunks, plain, strict=True) if not yes]
+        count[~np.array(plain, bool)] = list(map(len, others))
+        row = np.argsort(np.argsort(~np.array(plain, bool), kind="stable"), kind="stable")  # plain ones come first
+        for more in others:
+            words += more
+        found = between(self.model.encode(APART.join([*words, ""]).translate(self.mapped)), len(self.bytes_of))
+        size = np.empty(len(chunks), "i8")
+        size[row] = count
+        ids = np.diff(np.r_[0, np.cumsum(found.lengths)][np.cumsum(size)], prepend=0)
+        return Rows(found.values, ids).take(row)
+
+
+class Mapped(dict):
+    """For ``str.translate``: a character's bytes as the characters that stand for them."""
+
+    def __init__(self, of_byte: dict[int, str]):
+        super().__init__({ord(APART): MARK})
+        self.of_byte = of_byte
+
+    def __missing__(self, code: int) -> str:
+        self[code] = "".join(self.of_byte[b] for b in chr(code).encode())
+        return self[code]
 
 
 class PieceLevel:
