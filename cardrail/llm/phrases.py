@@ -3,13 +3,15 @@
 Texts are cut into pieces at punctuation and line ends, and those into words. The suffix of a piece at a word is the
 words from there on, at most ``Settings.longest`` of them: how often a phrase occurs is how many suffixes start with it.
 
-1. Words are counted. The most frequent get short codes, so that a suffix is a few bytes.
+1. Words are counted. The most frequent get short codes, so that a suffix is a few bytes. No phrase is more frequent than
+   its words: a suffix ends before a word that is not frequent enough, as a filter of fixed size tells.
 2. The suffixes are divided among groups by the prefix they start with, so that a group has about ``Settings.leaves`` of
-   them: by their first word, and where more start with it than that, by their first two words, and so on. Only the
-   prefixes that are too frequent are listed, by hashes; a hash deals the others out.
-3. Each group is a subtree of its own: its suffixes are brought together and sorted, equal ones are a leaf with its
-   total, and every node's count is the sum of the leaves below it, read in one pass over them. Tasks have added up
-   equal suffixes of a run of texts before. Above the prefix a node's count is the sum over the groups.
+   them at most: by their first word, where more suffixes than that start with it by their first two, and so on up to a
+   word that is no more frequent than that. Only those words are listed; a hash deals the prefixes out.
+3. Each group is a subtree of its own, built in memory: equal suffixes are a leaf with its total, leaves are sorted, and
+   every node's count is the sum of the leaves below it, read in one pass over them. Tasks have added up equal
+   suffixes of a run of texts before, and send them as one row for each group. Above the prefix a node's count is the
+   sum over the groups.
 4. Phrases are scored by the counts of their parts, in exact decimals.
 
 Defined results: a null or empty text has no words; a null ``lang`` counts as ``und``; rows come out of the texts whatever
@@ -28,7 +30,7 @@ import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
-from cardrail.llm.common import held_in_worker, slices, small, written
+from cardrail.llm.common import Marked, held_in_worker, slices, small, written
 from cardrail.llm.ngrams import mix
 from cardrail.llm.segments import numbered
 
@@ -36,8 +38,8 @@ from cardrail.llm.segments import numbered
 ENDS, BLANK = b".,;:!?\n\x0b\x0c\r", b"\t"
 _PLAIN = bytes.maketrans(ENDS + BLANK, b"." * len(ENDS) + b" ")
 
-#: Characters of one language whose equal suffixes a task adds up, and leaves that it reads together.
-RUN_CHARS, CHUNK = 4_000_000, 200_000
+#: Characters of one language whose equal suffixes a task adds up.
+RUN_CHARS = 2_000_000
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -50,9 +52,9 @@ class Settings:
     #: A candidate goes if a longer one around it has at least this share of its count.
     share_percent: int = 100
     top: int = 2_000
-    #: Suffixes in a group, on average at most; more, if there were more than ``groups`` of them otherwise.
-    leaves: int = 4_000_000
-    groups: int = 1 << 16
+    #: Suffixes in a group, on average at most half of that; more, if there were more than ``groups`` of them otherwise.
+    leaves: int = 2_000_000
+    groups: int = 1 << 20
     #: Words with short codes, and the most bytes of one.
     coded: int = 1 << 17
     word_bytes: int = 64
@@ -89,7 +91,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        for batch in small(batches, 5_000):
+        for batch in small(batches, 2_000):
             for lang, words, row in runs_of(batch):
                 n = np.bincount(row, minlength=len(words) + 1)[1:]
                 columns = [pa.array([lang] * len(words), pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())]
@@ -151,16 +153,12 @@ def parts_of(raw: np.ndarray, start: np.ndarray, end: np.ndarray, most: int) ->
         at = until
 
 
-def prefix_hashes(lang: str, words: list[bytes], columns: list[np.ndarray]) -> list[np.ndarray]:
-    """The hashes of the first word, the first two and so on, of rows of words given by columns; as in every worker."""
-    from xxhash import xxh3_64_intdigest
+def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    """As Spark's ``xxhash64`` of language and word."""
+    from xxhash import xxh64_intdigest
 
-    one = np.array([0, *map(xxh3_64_intdigest, words)], "u8")
-    out, before = [], np.full(len(columns[0]), xxh3_64_intdigest(lang.encode()), "u8")
-    for column in columns:
-        before = mix(before * _STEP + one[column])
-        out.append(before)
-    return out
+    seed = xxh64_intdigest(lang.encode(), 42)
+    return np.fromiter((xxh64_intdigest(w, seed) for w in words), "u8", len(words))
 
 
 def suffixes(row: np.ndarray, longest: int) -> list[np.ndarray]:
@@ -187,79 +185,98 @@ def added_up(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
     return [c[order[first]] for c in columns], np.diff(np.r_[first, len(order)])
 
 
-def heavy_steps(hashes: list[np.ndarray], columns: list[np.ndarray], heavy: list[np.ndarray]) -> np.ndarray:
-    """How many first words of each row, in a row, are prefixes of more suffixes than a group should have."""
-    steps, on = np.zeros(len(columns[0]), int), np.ones(len(columns[0]), bool)
-    for found, column, known in zip(hashes, columns, heavy, strict=False):
-        on = on & (column > 0) & np.isin(found, known)
-        steps += on
-    return steps
-
-
-def heavy_prefixes(docs: DataFrame, words: DataFrame, leaves: int, longest: int) -> list[np.ndarray]:
-    """The hashes of prefixes with more suffixes than ``leaves``, for one word, two and so on: some number of suffixes
-    divided by ``leaves`` at most. A prefix is only made longer where it is too frequent."""
-    names = words.filter(F.col("n") > leaves).select("lang", F.col("word").cast("binary").alias("word")).collect()
-    found = [prefix_hashes(r.lang, [bytes(r.word)], [np.array([1])])[0][0] for r in names]
-    heavy: list[np.ndarray] = []
-    while found:
-        heavy.append(np.unique(np.array(found, "u8")))
-        depth = len(heavy) + 1
-        if depth > longest - 1:
-            break
-        known = list(heavy)
-
-        def run(batches, depth=depth, known=known):
-            import pyarrow as pa
-
-            for batch in small(batches, 5_000):
-                for lang, distinct, row in runs_of(batch):
-                    columns = suffixes(row, longest)[:depth]
-                    hashes = prefix_hashes(lang, distinct, columns)
-                    longer = (heavy_steps(hashes, columns, known) == depth - 1) & (columns[-1] > 0)
-                    keys, n = np.unique(hashes[-1][longer], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.view("i8")), pa.array(n, pa.int64())], ["key", "n"])
-
-        counts = rows_of(docs).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        found = [r.key % (1 << 64) for r in counts.filter(F.col("n") > leaves).collect()]
-    return heavy
+def placed(columns: list[np.ndarray], hashes: np.ndarray, heavy: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each suffix, and how many of its first words are too frequent to be a group's prefix alone.
 
-
-def leaves_of(docs: DataFrame, codes: Broadcast, name: str, heavy: list[np.ndarray], groups: int, s: Settings) -> DataFrame:
-    """``place`` (group, and how many words of the suffix other groups have too), ``leaf`` and ``n``."""
+    ``hashes`` are those of the words by number, ``heavy`` whether more suffixes start with a word than a group has.
+    """
+    steps, on = np.zeros(len(columns[0]), "u1"), np.ones(len(columns[0]), bool)
+    by, open_ = np.zeros(len(columns[0]), "u8"), on
+    for column in columns:
+        there = open_ & (column > 0)
+        by = np.where(there, mix(by * _STEP + hashes[column]), by)
+        on = there & heavy[column]
+        steps += on
+        open_ = on
+    return (by % np.uint64(groups)).astype("i4"), steps
+
+
+def pack(leaf, n: np.ndarray, steps: np.ndarray, group: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The leaves of each group in one piece: how many, their sizes, totals and steps, then their bytes."""
+    order = np.argsort(group, kind="stable")
+    leaf, n, steps, group = leaf.take(order), n[order].astype("<u4"), steps[order], group[order]
+    edges = np.frombuffer(leaf.buffers()[1], "<i4")[leaf.offset : leaf.offset + len(leaf) + 1]
+    raw, sizes = memoryview(leaf.buffers()[2] or b""), np.diff(edges).astype("<u4")
+    first = np.flatnonzero(np.diff(group, prepend=-1))
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(group)], strict=True):
+        parts = [np.array([b - a], "<u4"), sizes[a:b], n[a:b], steps[a:b]]
+        yield int(group[a]), b"".join([*(p.tobytes() for p in parts), raw[edges[a] : edges[b]]])
+
+
+def unpack(packed: list[bytes]) -> tuple:
+    """The different leaves of some pieces in the order of their bytes, their totals, and their steps."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    sizes, totals, steps, raws = [], [], [], []
+    for piece in packed:
+        k = int.from_bytes(piece[:4], "little")
+        sizes.append(np.frombuffer(piece, "<u4", k, 4))
+        totals.append(np.frombuffer(piece, "<u4", k, 4 + 4 * k))
+        steps.append(np.frombuffer(piece, "u1", k, 4 + 8 * k))
+        raws.append(memoryview(piece)[4 + 9 * k :])
+    edges = np.r_[0, np.cumsum(np.concatenate(sizes), dtype="i8")]
+    buffers = [None, pa.py_buffer(edges.astype("<i8")), pa.py_buffer(b"".join(raws))]
+    coded = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, buffers).dictionary_encode()
+    number, leaves = coded.indices.to_numpy(), coded.dictionary
+    n = np.zeros(len(leaves), "i8")
+    np.add.at(n, number, np.concatenate(totals).astype("i8"))
+    step = np.zeros(len(leaves), "u1")
+    step[number] = np.concatenate(steps)
+    order = pc.array_sort_indices(leaves).to_numpy()
+    return leaves.take(order), n[order], step[order]
+
+
+def leaves_of(
+    docs: DataFrame, codes: Broadcast, name: str, frequent: Marked, heavy: np.ndarray, groups: int, s: Settings
+) -> DataFrame:
+    """``place`` (a group) and ``leaves`` (its leaves of a run of texts)."""
 
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
 
         coder = held_in_worker(name, lambda: Codes(*codes.value))
-        for batch in small(batches, 5_000):
+        for batch in small(batches, 2_000):
             for lang, words, row in runs_of(batch):
+                hashes = word_hashes(lang, words)
+                row = np.where(np.r_[False, frequent.has(hashes)][row], row, 0)
                 columns, n = added_up(suffixes(row, s.longest))
-                hashes = prefix_hashes(lang, words, columns)
-                steps = heavy_steps(hashes, columns, heavy)
-                held = np.sum([c > 0 for c in columns], axis=0)
-                by = np.array(hashes)[np.minimum(steps, held - 1), np.arange(len(n))] if len(n) else np.zeros(0, "u8")
-                place = (by % np.uint64(groups)).astype("i8") << 8 | steps
+                if not len(n):
+                    continue
+                place, steps = placed(columns, np.r_[np.uint64(0), hashes], np.r_[False, np.isin(hashes, heavy)], groups)
                 coded = pa.array([b"", *coder.of(words)], pa.binary())
                 parts = [pa.repeat(pa.scalar(coder.of_lang(lang.encode()), pa.binary()), len(n))]
                 parts += [coded.take(pa.array(c)) for c in columns]
                 leaf = pc.binary_join_element_wise(*parts, pa.scalar(b"", pa.binary()))
-                yield pa.RecordBatch.from_arrays([pa.array(place), leaf, pa.array(n, pa.int64())], ["place", "leaf", "n"])
+                found = list(pack(leaf, n, steps, place))
+                for a in range(0, len(found), 10_000):
+                    part = found[a : a + 10_000]
+                    arrays = [pa.array([x for x, _ in part], pa.int32()), pa.array([y for _, y in part], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(arrays, ["place", "leaves"])
 
-    return rows_of(docs).mapInArrow(run, "place long, leaf binary, n long")
+    return rows_of(docs).mapInArrow(run, "place int, leaves binary")
 
 
-def nodes_of(place: np.ndarray, leaf, n: np.ndarray, s: Settings) -> Iterator[tuple[bytes, int]]:
-    """The nodes over some leaves in their order, and the totals of the leaves below each.
+def nodes_of(leaf, n: np.ndarray, steps: np.ndarray, s: Settings) -> Iterator[tuple[bytes, int]]:
+    """The nodes over a group's leaves, and the totals of the leaves below each.
 
-    Of nodes that lie within these leaves and are in no other group, those below ``s.least`` are left out.
+    Of nodes that are in no other group, those below ``s.least`` are left out.
     """
-    raw = np.frombuffer(leaf.buffers()[2], "u1") if leaf.buffers()[2] else np.zeros(0, "u1")
-    edges = np.frombuffer(leaf.buffers()[1], "i4")[leaf.offset : leaf.offset + len(leaf) + 1].astype("i8")
-    start, end, other = edges[:-1], edges[1:], {}
-    steps, new = place & 0xFF, np.ones(len(n), bool)
-    new[1:] = (place[1:] >> 8) != (place[:-1] >> 8)
+    raw = np.frombuffer(leaf.buffers()[2], "u1")
+    edges = np.frombuffer(leaf.buffers()[1], "<i8")[leaf.offset : leaf.offset + len(leaf) + 1]
+    start, end, other, new = edges[:-1], edges[1:], {}, np.zeros(len(n), bool)
+    new[0] = True
     for depth, (a, b) in enumerate(parts_of(raw, start, end, s.longest + 1)):
         there = b > a
         first = np.where(there, raw[np.minimum(a, len(raw) - 1)], 0)
@@ -278,8 +295,7 @@ def nodes_of(place: np.ndarray, leaf, n: np.ndarray, s: Settings) -> Iterator[tu
             return
         heads = np.flatnonzero(new[row])
         total = np.add.reduceat(n[row], heads)
-        tail = np.r_[heads[1:], len(row)] - 1
-        kept = (total >= s.least) | (row[heads] == 0) | (row[tail] == len(n) - 1) | (steps[row[heads]] >= depth)
+        kept = (total >= s.least) | (steps[row[heads]] >= depth)
         for head, count in zip(row[heads[kept]].tolist(), total[kept].tolist(), strict=True):
             yield raw[start[head] : b[head]].tobytes(), count
 
@@ -290,24 +306,21 @@ def phrase_counts(leaves: DataFrame, codes: Broadcast, name: str, s: Settings) -
     def subtrees(batches):
         import pyarrow as pa
 
-        held, rows = [], 0
-
-        def told():
-            table = pa.Table.from_batches(held).combine_chunks()
-            column = [c.combine_chunks() for c in table.columns]
-            column = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in column]
-            found = list(nodes_of(column[0].to_numpy(), column[1], column[2].to_numpy(), s))
+        def told(packed):
+            found = list(nodes_of(*unpack(packed), s))
             nodes = [pa.array([x for x, _ in found], pa.binary()), pa.array([y for _, y in found], pa.int64())]
             return pa.RecordBatch.from_arrays(nodes, ["node", "n"])
 
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= CHUNK:
-                yield told()
-                held, rows = [], 0
-        if rows:
-            yield told()
+        place, held = None, []
+        for batch in small(batches):
+            for group, packed in zip(batch.column("place").to_pylist(), batch.column("leaves").to_pylist(), strict=True):
+                if group != place and held:
+                    yield told(held)
+                    held = []
+                place = group
+                held.append(packed)
+        if held:
+            yield told(held)
 
     def spelled(batches):
         import pyarrow as pa
@@ -318,7 +331,7 @@ def phrase_counts(leaves: DataFrame, codes: Broadcast, name: str, s: Settings) -
             columns = [pa.array([x[0] for x in rows], pa.binary()), pa.array([b" ".join(x[1:]) for x in rows], pa.binary())]
             yield pa.RecordBatch.from_arrays([*(c.cast(pa.string()) for c in columns), batch.column("f")], ["lang", "phrase", "f"])
 
-    dealt = leaves.repartition(F.shiftright("place", 8)).sortWithinPartitions(F.shiftright("place", 8), "leaf")
+    dealt = leaves.repartition("place").sortWithinPartitions("place")
     nodes = dealt.mapInArrow(subtrees, "node binary, n long").groupBy("node").agg(F.sum("n").alias("f"))
     return nodes.filter(F.col("f") >= s.least).mapInArrow(spelled, "lang string, phrase string, f long")
 
@@ -363,11 +376,14 @@ def collocations(docs: DataFrame, s: Settings | None = None) -> DataFrame:
     n = totals.agg(F.sum("n")).first()[0] or 0
     leaves = max(s.leaves, -(-2 * n // s.groups))
     groups = max(1, -(-2 * n // leaves))
-    codes = spark.sparkContext.broadcast((_most_frequent(words, s), [r.lang.encode() for r in totals.orderBy(F.desc("n"), "lang").limit(1_000).collect()]))
-    name = f"phrase-codes-{uuid.uuid4().hex}"
-    found = leaves_of(docs, codes, name, heavy_prefixes(docs, words, leaves, s.longest), groups, s)
+    langs = [r.lang.encode() for r in totals.orderBy(F.desc("n"), "lang").limit(1_000).collect()]
+    codes, name = spark.sparkContext.broadcast((_most_frequent(words, s), langs)), f"phrase-codes-{uuid.uuid4().hex}"
+    enough = words.filter(F.col("n") >= s.least)
+    key = F.xxhash64("lang", "word").alias("key")
+    heavy = np.array([r.key for r in words.filter(F.col("n") > leaves).select(key).collect()], "i8").view("u8")
+    found = leaves_of(docs, codes, name, Marked(enough.select(key), "key"), heavy, groups, s)
     phrases = written(phrase_counts(found, codes, name, s), "phrases")
-    single = words.filter(F.col("n") >= s.least).select("lang", F.col("word").alias("phrase"), F.col("n").alias("f"))
+    single = enough.select("lang", F.col("word").alias("phrase"), F.col("n").alias("f"))
     return scored(phrases, single, totals, s)
 
 

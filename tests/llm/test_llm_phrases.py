@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cardrail.llm import phrases
 
@@ -99,21 +100,42 @@ def test_scores_are_exact_beyond_64_bits(spark):
     assert row.score == 1000 * (big - 7) * (2 * 10**13 + 1) // (big * (big + 1))
 
 
-def test_groups_divide_frequent_prefixes(spark):
-    docs = frame(spark, documents())
-    words = phrases.word_counts(docs)
-    heavy = phrases.heavy_prefixes(docs, words, 100, 5)
-    assert len(heavy) == 4 and all(map(len, heavy))
-    codes = spark.sparkContext.broadcast(([b"the", b"of"], [b"en"]))
-    found = phrases.leaves_of(docs, codes, "test-codes", heavy, 64, phrases.Settings()).collect()
-    # the suffixes of a prefix that is not too frequent are in one group
-    coder, groups = phrases.Codes([b"the", b"of"], [b"en"]), {}
-    for r in found:
-        read = tuple(coder.read(bytes(r.leaf)))
-        steps = r.place & 0xFF
-        if len(read) - 1 > steps:
-            groups.setdefault(read[: steps + 2], set()).add(r.place >> 8)
-    assert groups and all(len(x) == 1 for x in groups.values())
+def test_groups_divide_frequent_prefixes():
+    draw = np.random.default_rng(4)
+    # words 1 and 2 are too frequent for a group; rows end with zeros
+    rows = draw.choice([1, 1, 1, 2, 2, 3, 4, 5], (2_000, 5))
+    rows[np.arange(5)[None, :] >= draw.integers(2, 6, 2_000)[:, None]] = 0
+    hashes, heavy = draw.integers(1, 1 << 62, 6).astype("u8"), np.array([0, 1, 1, 0, 0, 0], bool)
+    place, steps = phrases.placed(list(rows.T), hashes, heavy, 64)
+    groups = {}
+    for row, group, step in zip(rows.tolist(), place.tolist(), steps.tolist(), strict=True):
+        words = [w for w in row if w]
+        leading = next((k for k, w in enumerate(words) if w > 2), len(words))
+        assert step == leading
+        # the suffixes of a prefix that ends with a word that is not too frequent are in one group
+        if leading < len(words):
+            groups.setdefault(tuple(words[: leading + 1]), set()).add(group)
+    assert len(groups) > 20 and all(len(x) == 1 for x in groups.values())
+    assert len(set(place.tolist())) > 40
+
+
+def test_word_hashes_are_those_of_spark(spark):
+    words = ["", "a", "word", "é日本", "x" * 31, "y" * 32, "z" * 1000, "nine bytes"]
+    rows = spark.createDataFrame([(lang, w) for lang in ("en", "") for w in words], "lang string, word string")
+    for lang in ("en", ""):
+        want = [r.h for r in rows.filter(F.col("lang") == lang).select(F.xxhash64("lang", "word").alias("h")).collect()]
+        assert phrases.word_hashes(lang, [w.encode() for w in words]).view("i8").tolist() == want
+
+
+def test_leaves_are_packed_and_added_up():
+    import pyarrow as pa
+
+    leaf, n, steps = pa.array([b"b", b"aa", b"b", b"", b"c" * 300]), np.array([1, 2, 3, 4, 5]), np.array([0, 1, 0, 2, 0], "u1")
+    packed = dict(phrases.pack(leaf, n, steps, np.array([7, 3, 7, 3, 7], "i4")))
+    assert sorted(packed) == [3, 7]
+    found = [phrases.unpack([packed[k], packed[k]]) for k in (3, 7)]
+    assert [x[0].to_pylist() for x in found] == [[b"", b"aa"], [b"b", b"c" * 300]]
+    assert [x[1].tolist() for x in found] == [[8, 4], [8, 10]] and [x[2].tolist() for x in found] == [[2, 1], [0, 0]]
 
 
 def test_codes_tell_where_they_end():
