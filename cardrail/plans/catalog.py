@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cardrail.functions import cards, codes, dates
 from cardrail.functions.amounts import parse_amount
-from cardrail.functions.payload import Payload
+from cardrail.functions.payload import Payload, members_in_order
 from cardrail.functions.records import KEEP_NULLS
 from cardrail.functions.text import empty_to_null, strip
 from cardrail.functions.tokens import IV_BYTES, TokenKey
@@ -190,10 +190,11 @@ def cdc_scan(spark, sf_dir):
     topic = FolderTopic(scratch_path(spark, "topics"), TOPIC_CDC)
     topic.append(changes.snapshot(table).withColumn("key", F.lit(None).cast("string")), "snapshot")
     read = cdc.unwrap(topic.read(spark))
+    key, *members = members_in_order(F.col("after"), table.columns)
     return read.select(
-        F.col("after")["id"].try_cast("bigint").alias(INDEX),
+        key.try_cast("bigint").alias(INDEX),
         "op",
-        *(F.col("after")[c.lower()].alias(c.lower()) for c in RECORD_COLUMNS),
+        *(member.alias(c) for member, c in zip(members, table.columns[1:])),
     )
 
 
