@@ -81,7 +81,7 @@ def test_parts_hold_each_order_once(spark, sf):
     assert union.exceptAll(whole).count() == 0 and whole.exceptAll(union).count() == 0
 
 
-@pytest.mark.parametrize("name", ["stage_counts"])
+@pytest.mark.parametrize("name", ["stage_counts", "publish_csv"])
 def test_messages_expire_by_rounds(spark, sf, duck, small_rounds, peaks, name):
     assert compare(spark, duck, name, sf) == ""
     # parts of so few rows are uneven
