@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -39,7 +40,7 @@ from cardrail.schemas import (
     TOPIC_SEALED,
     TOPIC_VALIDATED,
 )
-from cardrail.session import scratch_path
+from cardrail.session import remove, scratch_path
 from cardrail.sinks import files
 from cardrail.sinks.store import Store
 from cardrail.sources import changes, operations as operation_files
@@ -778,20 +779,29 @@ def load_count(spark, sf_dir):
 
 
 def storage_usage(spark, sf_dir):
-    """Rows of the datasets written for the operations, and bytes where the format fixes them."""
-    root = scratch_path(spark, "storage")
-    opened = envelopes(spark, sf_dir)
+    """Rows of the datasets written for the operations, and bytes where the format fixes them.
+
+    A part of the operations is written, listed and counted at a time, and its files go before the next part's come.
+    """
     text = envelope.payload_json(F.col("payload"))
-    files.write_json_lines(opened, text, f"{root}/payloads")
-    files.write_json_parquet(opened, text, f"{root}/payloads-parquet")
-    usage = monitoring.storage_usage(spark, root)
-    stored = {
-        "payloads": read_text_messages(spark, f"{root}/payloads"),
-        "payloads-parquet": spark.read.parquet(f"{root}/payloads-parquet"),
-    }
-    rows = monitoring.stage_counts(stored).select(F.col("stage").alias("dataset"), F.col("messages").alias("rows"))
+    found = []
+    for part in parts(spark, sf_dir, ROWS_PER_ROUND, MOST_ROUNDS):
+        root = scratch_path(spark, "storage")
+        opened = envelopes(spark, sf_dir, part)
+        files.write_json_lines(opened, text, f"{root}/payloads")
+        files.write_json_parquet(opened, text, f"{root}/payloads-parquet")
+        usage = monitoring.storage_usage(spark, root)
+        stored = {
+            "payloads": read_text_messages(spark, f"{root}/payloads"),
+            "payloads-parquet": spark.read.parquet(f"{root}/payloads-parquet"),
+        }
+        rows = monitoring.stage_counts(stored).select(F.col("stage").alias("dataset"), F.col("messages").alias("rows"))
+        listed = usage.join(rows, "dataset")
+        found.append(spark.createDataFrame(listed.collect(), listed.schema))
+        remove(spark, root)
+    whole = reduce(DataFrame.unionByName, found).groupBy("dataset").agg(*(F.sum(c).alias(c) for c in ("bytes", "files", "rows")))
     fixed = F.when(~F.col("dataset").endswith("-parquet"), F.col("bytes"))
-    return usage.join(rows, "dataset").select("dataset", fixed.alias("bytes"), (F.col("files") > 0).alias("has_files"), "rows")
+    return whole.select("dataset", fixed.alias("bytes"), (F.col("files") > 0).alias("has_files"), "rows")
 
 
 # --- sinks -----------------------------------------------------------------------------------

@@ -86,3 +86,10 @@ def test_messages_expire_by_rounds(spark, sf, duck, small_rounds, peaks, name):
     assert compare(spark, duck, name, sf) == ""
     # parts of so few rows are uneven
     assert all(count < ORDERS for topic, count in peaks.items() if topic != TOPIC_NORMALIZED)
+
+
+def test_storage_is_listed_by_rounds(spark, sf, duck, small_rounds, monkeypatch):
+    listed, usage = [], catalog.monitoring.storage_usage
+    monkeypatch.setattr(catalog.monitoring, "storage_usage", lambda s, root: listed.append(root) or usage(s, root))
+    assert compare(spark, duck, "storage_usage", sf) == ""
+    assert len(listed) == 2 and not any(Path(root.split(":", 1)[-1]).exists() for root in listed)
